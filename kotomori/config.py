@@ -123,8 +123,9 @@ class ForestSettings:
     # The forest bins every row densely, so its input width is bounded by an
     # ANOVA F selection; None trains on the whole vocabulary.
     select_top: int | None = 4096
-    # Rows per training partition order are fixed so that a fit can be repeated.
-    partitions: int = 8
+    # Trees sample per partition. None lets the session size the partitions by the
+    # data; a number also makes fits on differently sized clusters repeatable.
+    partitions: int | None = None
 
 
 @dataclass(frozen=True)

@@ -39,18 +39,13 @@ def confusion_normalised(confusion: DataFrame) -> DataFrame:
 
 def _by_class(confusion: DataFrame) -> DataFrame:
     """``(class, support, precision, recall, f1)``, undefined ratios as zero."""
+    def side(class_id: Column, hit: Column, truth: Column, guess: Column) -> Column:
+        return F.struct(class_id.alias("class_id"), hit.alias("hit"), truth.alias("truth"), guess.alias("guess"))
+
+    none, n = F.lit(0).cast("long"), F.col("n")
+    hit = F.when(F.col("y_true") == F.col("y_pred"), n).otherwise(none)
     sides = confusion.select(
-        F.inline(
-            F.array(
-                F.struct(
-                    F.col("y_true").alias("class_id"),
-                    F.when(F.col("y_true") == F.col("y_pred"), F.col("n")).otherwise(0).alias("hit"),
-                    F.col("n").alias("truth"),
-                    F.lit(0).cast("long").alias("guess"),
-                ),
-                F.struct(F.col("y_pred"), F.lit(0).cast("long"), F.lit(0).cast("long"), F.col("n")),
-            )
-        )
+        F.inline(F.array(side(F.col("y_true"), hit, n, none), side(F.col("y_pred"), none, none, n)))
     )
 
     def ratio(a: Column, b: Column) -> Column:

@@ -21,7 +21,8 @@ def rank_cutoffs(df: DataFrame, label: str, key: str, seed: int, ranks) -> DataF
     """``(label, cuts)``: the ``(hash, key)`` found at each wanted rank of a class.
 
     ``ranks`` maps a Column with the class size to an array of wanted ranks (one
-    based; rank 0 asks for nothing). The result has one row per class.
+    based; rank 0 asks for nothing). A rank wanted twice is one cut with ``times``
+    2. The result has one row per class.
     """
     hashed = df.select(F.col(label), F.col(key).alias("k"), split_hash(key, seed).alias("h"))
     hashed = hashed.withColumn("bucket", F.substring("h", 1, PREFIX))
@@ -42,8 +43,9 @@ def rank_cutoffs(df: DataFrame, label: str, key: str, seed: int, ranks) -> DataF
     return (
         inside.withColumn("place", place.cast("long"))
         .where(F.array_contains("wanted", F.col("place")))
+        .withColumn("times", F.size(F.filter("wanted", lambda w: w == F.col("place"))))
         .groupBy(label)
-        .agg(F.collect_list(F.struct("h", "k")).alias("cuts"))
+        .agg(F.collect_list(F.struct(F.struct("h", "k").alias("at"), "times")).alias("cuts"))
     )
 
 
@@ -54,6 +56,18 @@ def _with_cuts(df: DataFrame, label: str, key: str, seed: int, ranks) -> DataFra
     )
 
 
+def _cuts_ahead() -> Column:
+    """How many wanted ranks lie at or behind the row; 0 where a class has no cut."""
+    return F.coalesce(
+        F.aggregate(
+            "cuts",
+            F.lit(0),
+            lambda total, cut: total + F.when(F.col("_at") <= cut["at"], cut["times"]).otherwise(0),
+        ),
+        F.lit(0),
+    )
+
+
 def stratified_split(df: DataFrame, label: str, key: str, fraction: float = 0.2, seed: int = 42) -> DataFrame:
     """Add ``is_test``: per class exactly ``round(fraction * n)`` rows."""
 
@@ -62,7 +76,7 @@ def stratified_split(df: DataFrame, label: str, key: str, fraction: float = 0.2,
 
     return (
         _with_cuts(df, label, key, seed, ranks)
-        .withColumn("is_test", F.coalesce(F.col("_at") <= F.get("cuts", F.lit(0)), F.lit(False)))
+        .withColumn("is_test", _cuts_ahead() > 0)
         .drop("_at", "cuts")
     )
 
@@ -71,24 +85,10 @@ def kfold(df: DataFrame, label: str, key: str, k: int = 5, seed: int = 42) -> Da
     """Add ``fold`` in 0..k-1: per class, fold sizes differ by at most one row."""
 
     def ranks(n: Column) -> Column:
-        # several folds of a tiny class may share a boundary, which then counts each time
         return F.array(*[F.floor(n * F.lit(i) / F.lit(k)).cast("long") for i in range(1, k)])
 
-    folds = _with_cuts(df, label, key, seed, ranks)
-    passed = F.size(F.filter("cuts", lambda cut: F.col("_at") > cut))
-    n = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
-    # boundaries at rank 0 or shared ones leave fewer cuts than k - 1; the fold is
-    # the number of boundaries below the row, looked up by how many cuts it passed
-    edges = F.array_sort(ranks(F.col("_n")))
-    zeros = F.size(F.filter(edges, lambda e: e == 0))
-    distinct = F.array_distinct(F.filter(edges, lambda e: e > 0))
-    reached = F.when(
-        F.coalesce(passed, F.lit(0)) > 0, F.element_at(distinct, F.coalesce(passed, F.lit(1)))
-    ).otherwise(F.lit(0))
-    below = F.size(F.filter(edges, lambda e: (e > 0) & (e <= F.col("_reached"))))
     return (
-        folds.join(F.broadcast(n), label)
-        .withColumn("_reached", reached)
-        .withColumn("fold", zeros + below)
-        .drop("_at", "cuts", "_n", "_reached")
+        _with_cuts(df, label, key, seed, ranks)
+        .withColumn("fold", F.lit(k - 1) - _cuts_ahead())
+        .drop("_at", "cuts")
     )
