@@ -24,7 +24,6 @@ from kotomori.operators.features import TfidfModel
 from kotomori.operators.labels import decode, with_class_weight
 from kotomori.operators.metrics import confusion_counts, f1_scores
 from kotomori.operators.splits import kfold
-from kotomori.session import pin
 
 TUNING_GRID = {"trees": (100, 200), "max_depth": (30, 20), "min_instances": (1, 2)}
 
@@ -110,7 +109,7 @@ def cross_validate(
     partitions: int | None = FOREST.partitions,
 ) -> DataFrame:
     """``(fold, f1_macro, f1_weighted, accuracy)``, one row per stratified fold."""
-    folds = pin(kfold(df, "label_id", key, k, seed), "folds")
+    folds = kfold(df, "label_id", key, k, seed, eager=True)
 
     def one(fold: int) -> DataFrame:
         train = training_frame(folds.where(F.col("fold") != fold).drop("fold"), key, partitions)
@@ -130,7 +129,7 @@ def cross_validate_refit(
     text: str = "processed_text",
 ) -> DataFrame:
     """As :func:`cross_validate`, with the vocabulary fitted anew inside each fold."""
-    folds = pin(kfold(df, "label_id", key, k, forest.seed), "folds")
+    folds = kfold(df, "label_id", key, k, forest.seed, eager=True)
 
     def one(fold: int) -> DataFrame:
         train = folds.where(F.col("fold") != fold).drop("fold")
@@ -176,7 +175,7 @@ def grid_search(
     builder = ParamGridBuilder()
     for name, values in grid.items():
         builder = builder.addGrid(params[name], list(values))
-    train = training_frame(kfold(df, "label_id", key, k, settings.seed), key, settings.partitions)
+    train = training_frame(kfold(df, "label_id", key, k, settings.seed, eager=True), key, settings.partitions)
     search = CrossValidator(
         estimator=pipeline,
         estimatorParamMaps=builder.build(),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kotomori.config import LABELS
@@ -30,9 +30,9 @@ def unknown_labels(df: DataFrame, label: str = "label") -> DataFrame:
 def class_weights(df: DataFrame, label: str = "label_id") -> DataFrame:
     """``(label, n, weight)`` with weight n / (classes * n of the class)."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    total = counts.agg(F.sum("n")).scalar()
-    classes = counts.agg(F.count(F.lit(1))).scalar()
-    return counts.withColumn("weight", total / (classes * F.col("n")))
+    classes = Window.partitionBy()  # over one row per class
+    weight = F.sum("n").over(classes) / (F.count(F.lit(1)).over(classes) * F.col("n"))
+    return counts.withColumn("weight", weight)
 
 
 def with_class_weight(df: DataFrame, label: str = "label_id", out: str = "class_weight") -> DataFrame:

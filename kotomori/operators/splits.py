@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kotomori.session import pin
+
 PREFIX = 4  # hex digits: 65,536 buckets per class
 
 
@@ -49,8 +51,10 @@ def rank_cutoffs(df: DataFrame, label: str, key: str, seed: int, ranks) -> DataF
     )
 
 
-def _with_cuts(df: DataFrame, label: str, key: str, seed: int, ranks) -> DataFrame:
+def _with_cuts(df: DataFrame, label: str, key: str, seed: int, ranks, eager: bool) -> DataFrame:
     cuts = rank_cutoffs(df, label, key, seed, ranks)
+    if eager:
+        cuts = pin(cuts, "cuts")
     return df.join(F.broadcast(cuts), label, "left").withColumn(
         "_at", F.struct(split_hash(key, seed).alias("h"), F.col(key).alias("k"))
     )
@@ -68,27 +72,31 @@ def _cuts_ahead() -> Column:
     )
 
 
-def stratified_split(df: DataFrame, label: str, key: str, fraction: float = 0.2, seed: int = 42) -> DataFrame:
-    """Add ``is_test``: per class exactly ``round(fraction * n)`` rows."""
+def stratified_split(df: DataFrame, label: str, key: str, fraction: float = 0.2, seed: int = 42, eager: bool = False) -> DataFrame:
+    """Add ``is_test``: per class exactly ``round(fraction * n)`` rows.
+
+    ``eager`` finds the cuts now and stores them, a row per class, so that a frame
+    read many times afterwards only compares hashes.
+    """
 
     def ranks(n: Column) -> Column:
         return F.array(F.round(n * F.lit(fraction)).cast("long"))
 
     return (
-        _with_cuts(df, label, key, seed, ranks)
+        _with_cuts(df, label, key, seed, ranks, eager)
         .withColumn("is_test", _cuts_ahead() > 0)
         .drop("_at", "cuts")
     )
 
 
-def kfold(df: DataFrame, label: str, key: str, k: int = 5, seed: int = 42) -> DataFrame:
+def kfold(df: DataFrame, label: str, key: str, k: int = 5, seed: int = 42, eager: bool = False) -> DataFrame:
     """Add ``fold`` in 0..k-1: per class, fold sizes differ by at most one row."""
 
     def ranks(n: Column) -> Column:
         return F.array(*[F.floor(n * F.lit(i) / F.lit(k)).cast("long") for i in range(1, k)])
 
     return (
-        _with_cuts(df, label, key, seed, ranks)
+        _with_cuts(df, label, key, seed, ranks, eager)
         .withColumn("fold", F.lit(k - 1) - _cuts_ahead())
         .drop("_at", "cuts")
     )

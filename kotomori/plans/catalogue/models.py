@@ -107,7 +107,12 @@ def save_spark_features(spark, sf):
 @register("score_corpus")
 def score_corpus_query(spark, sf):
     run = trained(spark, sf)
-    return score_corpus(documents(spark, sf, "doc_id", "text"), "doc_id", run.model, run.features)
+    return _flat(score_corpus(documents(spark, sf, "doc_id", "text"), "doc_id", run.model, run.features))
+
+
+def _flat(records):
+    """Prediction records with their flags as JSON text."""
+    return records.withColumn("adversarial_flags", F.to_json("adversarial_flags"))
 
 
 def _document_stream(spark, sf):
@@ -121,7 +126,7 @@ def stream_scores(spark, sf):
     path, checkpoint = shared_folder(spark, "stream"), shared_folder(spark, "stream-state")
     rows = _document_stream(spark, sf)
     score_stream(rows, "doc_id", run.model, run.features, path, checkpoint, available_now=True).awaitTermination()
-    return spark.read.parquet(path)
+    return _flat(spark.read.parquet(path))
 
 
 _PLAIN = SIGNALS.replace(SIGNALS[: SIGNALS.index("widened AS")], "evaded AS (SELECT doc_id, text AS raw FROM documents),\n", 1)

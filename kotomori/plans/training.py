@@ -32,10 +32,11 @@ class TrainingRun:
 
 
 def prepared_split(df: DataFrame, key: str, text: str, label: str, clean: CleanSettings = CLEAN) -> DataFrame:
-    """Cleaned, encoded and split rows, pinned: every later step reads them."""
+    """Cleaned, encoded and split rows; every later step reads the pinned table."""
     labelled = encode_labels(require_columns(df, key, text, label), label)
     columns = (key, text, "label_id", "processed_text", "risk")
-    return pin(stratified_split(prepare(labelled, text, clean).select(*columns), "label_id", key), "prepared")
+    rows = pin(prepare(labelled, text, clean).select(*columns), "prepared")
+    return stratified_split(rows, "label_id", key, eager=True)
 
 
 def train(
