@@ -32,10 +32,11 @@ BLOCKS = ("word", "char")
 
 def with_terms(df: DataFrame, text: str, block: str, out: str = "terms", settings: FeatureSettings = FEATURES) -> DataFrame:
     """Add the array of all terms of a block, repeats included."""
+    source = F.coalesce(F.col(text), F.lit(""))
     if block == "word":
-        tokens = df.withColumn("_tokens", word_tokens(strip_accents(F.col(text))))
+        tokens = df.withColumn("_tokens", word_tokens(strip_accents(source)))
         return tokens.withColumn(out, word_ngrams(F.col("_tokens"), *settings.word_ngrams)).drop("_tokens")
-    return df.withColumn(out, char_ngrams(F.col(text), *settings.char_ngrams))
+    return df.withColumn(out, char_ngrams(source, *settings.char_ngrams))
 
 
 def document_terms(df: DataFrame, key: str, text: str, block: str, settings: FeatureSettings = FEATURES) -> DataFrame:

@@ -51,8 +51,13 @@ def scan_corpus(
 
 
 def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``(good rows, rows that did not parse)``."""
-    bad = F.col(CORRUPT).isNotNull()
+    """``(good rows, rows that did not parse)``.
+
+    The test names every column: Spark parses only the columns a query needs, and
+    whether a row is good must not depend on what is selected from it later.
+    """
+    columns = [c for c in df.columns if c != CORRUPT]
+    bad = F.col(CORRUPT).isNotNull() & (F.xxhash64(*columns) >= F.lit(-(2**63)))
     return df.where(~bad).drop(CORRUPT), df.where(bad)
 
 
