@@ -36,6 +36,15 @@ def training_frame(df: DataFrame, key: str, partitions: int | None = FOREST.part
     return weighted.repartitionByRange(*by).sortWithinPartitions(key)
 
 
+def fit(estimator: Estimator, train: DataFrame) -> PipelineModel:
+    """Fit on a frame held for the passes a fit makes, and let go of it."""
+    held = train.persist()
+    try:
+        return estimator.fit(held)
+    finally:
+        held.unpersist()
+
+
 def _forest(settings: ForestSettings, features: str) -> RandomForestClassifier:
     return RandomForestClassifier(
         featuresCol=features,
@@ -113,7 +122,7 @@ def cross_validate(
 
     def one(fold: int) -> DataFrame:
         train = training_frame(folds.where(F.col("fold") != fold).drop("fold"), key, partitions)
-        model = estimator(train).fit(train)
+        model = fit(estimator(train), train)
         return fold_metrics(predict(model, folds.where(F.col("fold") == fold))).select(F.lit(fold).alias("fold"), "*")
 
     with ThreadPool(parallelism) as pool:
@@ -134,7 +143,7 @@ def cross_validate_refit(
     def one(fold: int) -> DataFrame:
         train = folds.where(F.col("fold") != fold).drop("fold")
         features = TfidfModel.fit(train, text, text_settings)
-        model = random_forest(forest).fit(training_frame(features.transform(train, text), key, forest.partitions))
+        model = fit(random_forest(forest), training_frame(features.transform(train, text), key, forest.partitions))
         held_out = features.transform(folds.where(F.col("fold") == fold), text)
         return fold_metrics(predict(model, held_out)).select(F.lit(fold).alias("fold"), "*")
 
@@ -214,7 +223,7 @@ def train_model(df: DataFrame, key: str, tune: bool = False, path: str | None =
     if tune:
         model = grid_search(df, key, replace(settings, min_instances=1)).bestModel
     else:
-        model = random_forest(settings).fit(training_frame(df, key, settings.partitions))
+        model = fit(random_forest(settings), training_frame(df, key, settings.partitions))
     if path:
         save_model(model, path)
     return model

@@ -3,6 +3,9 @@
 Rows are ordered inside their class by ``md5(seed|key)``. A class may hold most of
 the data, so instead of ``row_number`` over a class, a histogram of hash prefixes
 finds the bucket in which each wanted rank lies, and only that bucket is ranked.
+
+``label`` is a closed domain of classes (encode and set aside the rest first); the
+tables that are broadcast here have a row per class, or per class and wanted rank.
 """
 
 from __future__ import annotations

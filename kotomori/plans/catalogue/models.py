@@ -50,14 +50,14 @@ def _predictions(df):
 
 @register("random_forest")
 def random_forest(spark, sf):
-    model = C.random_forest().fit(C.training_frame(_train(spark, sf), "id"))
+    model = C.fit(C.random_forest(), C.training_frame(_train(spark, sf), "id"))
     return _predictions(C.predict(model, _test(spark, sf)))
 
 
 @register("logistic_baseline")
 def logistic_baseline(spark, sf):
     rows = _train(spark, sf)
-    model = C.logistic_baseline(rows.count()).fit(C.training_frame(rows, "id"))
+    model = C.fit(C.logistic_baseline(rows.count()), C.training_frame(rows, "id"))
     return _predictions(C.predict(model, _test(spark, sf)))
 
 
