@@ -57,26 +57,24 @@ def high_risk_rate(df: DataFrame, *by: str, weights: RiskWeights = RISK) -> Data
 
 
 def lemmatise(df: DataFrame, lemmas: DataFrame, key: str, tokens: str = "tokens", salts: int = 16) -> DataFrame:
-    """Replace tokens by their lemma from ``lemmas(surface, lemma)``, order kept.
+    """``(key, tokens)`` with tokens replaced by their lemma from ``lemmas(surface,
+    lemma)``, order kept; a missing list becomes an empty one.
 
     The dictionary may be of any size. Frequent tokens would pull a shuffled join
     onto single tasks, so tokens are salted and each dictionary row is copied per
     salt; where the copies still fit Spark's own limit it broadcasts them.
     """
-    placed = df.select(key, F.posexplode(tokens).alias("pos", "surface")).withColumn(
+    placed = df.select(key, F.posexplode_outer(tokens).alias("pos", "surface")).withColumn(
         "salt", F.pmod(F.xxhash64(key, "pos"), F.lit(salts)).cast("int")
     )
     copies = lemmas.dropDuplicates(["surface"]).withColumn(
         "salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
     )
-    swapped = (
+    # rows without a position come from empty lists; collect_list skips them
+    token = F.when(F.col("pos").isNotNull(), F.struct("pos", F.coalesce("lemma", "surface").alias("t")))
+    return (
         placed.join(copies, ["surface", "salt"], "left")
         .groupBy(key)
-        .agg(F.sort_array(F.collect_list(F.struct("pos", F.coalesce("lemma", "surface").alias("t")))).alias("_l"))
-        .select(key, F.col("_l.t").alias("_lemmas"))
-    )
-    return (
-        df.join(swapped, key, "left")
-        .withColumn(tokens, F.coalesce("_lemmas", tokens))
-        .drop("_lemmas")
+        .agg(F.sort_array(F.collect_list(token)).alias("_placed"))
+        .select(key, F.col("_placed.t").alias(tokens))
     )
