@@ -1,7 +1,10 @@
 """The queries of this subpackage and their SQL equivalents."""
 
 from kotomori.llm import (  # noqa: F401  (each module registers its queries)
+    mixing,
+    packing,
     token_counts,
+    topk,
 )
 from kotomori.llm.common import ORACLES, QUERIES
 

@@ -43,8 +43,8 @@ class MixSettings:
     #: Bounds of a document's weight.
     least_weight: float = 1 / 16
     most_weight: float = 16.0
-    #: Single documents that may close what is missing.
-    closing: int = 2
+    #: Single documents that may close what is missing; only the last one may overshoot.
+    closing: int = 3
     seed: int = 6
 
 
@@ -98,30 +98,34 @@ def mix(docs: DataFrame, settings: MixSettings, key: str = "doc_id", text: str =
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     whole = F.when(F.col("source_size") > 0, F.least(F.floor(F.col("target") / F.col("source_size")), F.lit(settings.most))).otherwise(0).cast("int")
     targets = pin(source_targets(sizes, settings).withColumn("whole", whole).withColumn("wanted", F.col("target") - F.col("whole") * F.col("source_size")), "mix-targets")
-    same = lambda a, b: a["source"].eqNullSafe(b["source"])
+    of = F.col("source").eqNullSafe(F.col("of"))  # sources may be null
 
     # The part of each source's order in which the wanted words are reached.
     parts = rows.groupBy("source", "part").agg(F.sum("size").alias("words"))
-    upto = Window.partitionBy("source").orderBy("part")
-    known = parts.join(targets, same(parts, targets)).select(parts["source"], "part", "words", "wanted", F.sum("words").over(upto).alias("upto"))
-    crossing = known.where(F.col("upto") > F.col("wanted")).groupBy("source").agg(F.min(F.struct("part", (F.col("upto") - F.col("words")).alias("before"))).alias("c"))
-    crossing = pin(crossing.select("source", F.col("c.part").alias("last_part"), F.col("c.before").alias("before")), "mix-parts")
-
-    plan = targets.join(crossing, same(targets, crossing), "left").select(targets["source"], "source_size", "target", "whole", "wanted", F.coalesce("last_part", F.lit(settings.parts)).alias("last_part"), F.coalesce("before", F.lit(0)).alias("before"))
-    placed = rows.join(plan, same(rows, plan)).drop(plan["source"])
+    wanted = targets.select(F.col("source").alias("of"), "wanted")
+    upto = F.sum("words").over(Window.partitionBy("source").orderBy("part"))
+    crossing = parts.join(wanted, of).withColumn("upto", upto).where(F.col("upto") > F.col("wanted"))
+    crossing = crossing.groupBy("of").agg(F.min(F.struct("part", (F.col("upto") - F.col("words")).alias("before"))).alias("c"))
+    plan = targets.join(crossing, of, "left").select(
+        F.col("source").alias("of"), "source_size", "target", "whole", "wanted",
+        F.coalesce("c.part", F.lit(settings.parts)).alias("last_part"), F.coalesce("c.before", F.lit(0)).alias("before"),
+    )
+    placed = rows.join(pin(plan, "mix-plan"), of).drop("of")
     # Only the rows of that part are sorted.
     order = Window.partitionBy("source", "part").orderBy("ratio", "row").rowsBetween(Window.unboundedPreceding, 0)
     last = placed.where(F.col("part") == F.col("last_part")).withColumn("upto", F.col("before") + F.sum("size").over(order))
-    inside = last.where(F.col("upto") <= F.col("wanted")).select("row")
-    drawn = pin(placed.join(inside.withColumn("in_last", F.lit(True)), "row", "left").withColumn("extra", (F.col("part") < F.col("last_part")) | F.coalesce("in_last", F.lit(False))).drop("part", "last_part", "before", "in_last"), "mix-drawn")
+    inside = last.where(F.col("upto") <= F.col("wanted")).select("row", F.lit(True).alias("inside"))
+    extra = (F.col("part") < F.col("last_part")) | F.coalesce("inside", F.lit(False))
+    drawn = pin(placed.join(inside, "row", "left").withColumn("extra", extra).drop("part", "last_part", "before", "inside"), "mix-drawn")
 
-    for _ in range(settings.closing):
-        short = drawn.groupBy("source").agg((F.first("wanted") - F.sum(F.when(F.col("extra"), F.col("size")).otherwise(0))).alias("short")).where("short >= 1")
+    for left in reversed(range(settings.closing)):
+        taken = F.sum(F.when(F.col("extra"), F.col("size")).otherwise(0))
+        short = drawn.groupBy(F.col("source").alias("of")).agg((F.first("wanted") - taken).alias("short")).where("short >= 1")
         off = F.abs(F.col("size") - F.col("short"))
-        fit = drawn.join(short, same(drawn, short)).where(~F.col("extra") & (off < F.col("short")))
-        fit = fit.groupBy(drawn["source"]).agg(F.min(F.struct(off.alias("off"), "ratio", "row"))["row"].alias("row"))
-        fit = fit.select("row", F.lit(True).alias("closes"))
-        drawn = drawn.join(fit, "row", "left").withColumn("extra", F.col("extra") | F.coalesce("closes", F.lit(False))).drop("closes")
+        fits = off < F.col("short") if left == 0 else F.col("size").between(1, F.col("short"))
+        fit = drawn.join(short, of).where(~F.col("extra") & fits)
+        fit = fit.groupBy("of").agg(F.min(F.struct(off.alias("off"), "ratio", "row"))["row"].alias("row"))
+        drawn = drawn.join(fit.select("row", F.lit(True).alias("closes")), "row", "left").withColumn("extra", F.col("extra") | F.coalesce("closes", F.lit(False))).drop("closes")
 
     copies = F.col("whole") + F.col("extra").cast("int")
     return drawn.select(
