@@ -3,6 +3,7 @@
 from kotomori.llm import (  # noqa: F401  (each module registers its queries)
     mixing,
     packing,
+    simhash,
     token_counts,
     topk,
 )
