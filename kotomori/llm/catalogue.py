@@ -1,8 +1,10 @@
 """The queries of this subpackage and their SQL equivalents."""
 
 from kotomori.llm import (  # noqa: F401  (each module registers its queries)
+    fingerprints,
     mixing,
     packing,
+    secrets,
     simhash,
     token_counts,
     topk,
