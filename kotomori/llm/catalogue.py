@@ -4,10 +4,12 @@ from kotomori.llm import (  # noqa: F401  (each module registers its queries)
     fingerprints,
     mixing,
     packing,
+    quality,
     secrets,
     simhash,
     token_counts,
     topk,
+    toxicity,
 )
 from kotomori.llm.common import ORACLES, QUERIES
 

@@ -82,17 +82,17 @@ def count_tokens(docs: DataFrame, settings: CountSettings, key: str = "doc_id",
     total = counted.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     frequent = (F.col("n") * settings.shared >= F.lit(total)) & (F.length("piece") <= settings.shared_chars)
     common = spark.sparkContext.broadcast({r.piece: r.tokens for r in counted.where(frequent).collect()})
-    schema = f"row string, key {dict(rows.dtypes)['key']}, n_bytes long, piece string, n long"
+    schema = f"row long, key {dict(rows.dtypes)['key']}, n_bytes long, piece string, n long"
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """For each document a row with its frequent tokens, and a row for each other pre-token."""
-        split, tokens, place, at = byte_pieces(settings.tokenizer), common.value, TaskContext.get().partitionId(), 0
+        split, tokens, at = byte_pieces(settings.tokenizer), common.value, TaskContext.get().partitionId() << 40
         for batch, part in slices(batches):
             known = batch.column("key")
             names, owners, sizes, pieces, counts = [], [], [], [], []
             for i, text in enumerate(part):
                 found, sum_ = split(text)
-                name, at = f"{place}.{at}", at + 1
+                name, at = at, at + 1
                 for piece, n in Counter(found).items():
                     t = tokens.get(piece)
                     if t is not None:
@@ -109,12 +109,12 @@ def count_tokens(docs: DataFrame, settings: CountSettings, key: str = "doc_id",
                 pieces.append(None)
                 counts.append(sum_)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(names, pa.string()), known.take(pa.array(owners, pa.int32())), pa.array(sizes, pa.int64()), pa.array(pieces, pa.string()), pa.array(counts, pa.int64())],
+                [pa.array(names, pa.int64()), known.take(pa.array(owners, pa.int32())), pa.array(sizes, pa.int64()), pa.array(pieces, pa.string()), pa.array(counts, pa.int64())],
                 ["row", "key", "n_bytes", "piece", "n"],
             )
 
     # A document's own row meets no pre-token: its key is unlike any, and unlike the others'.
-    own = F.concat(F.lit("\x00\x00"), "row")
+    own = F.concat(F.lit("\x00\x00"), F.col("row").cast("string"))
     left = rows.mapInArrow(frequencies, schema).withColumn("own", F.col("piece").isNull()).withColumn("piece", F.coalesce("piece", own))
     right = counted.where(~frequent).select("piece", "tokens")
     share = F.when(F.col("own"), F.col("n")).otherwise(F.col("n") * F.col("tokens"))
