@@ -75,16 +75,17 @@ def odds(x: Column) -> Column:
     return x / (F.lit(1.0) - x)
 
 
-def mix(docs: DataFrame, settings: MixSettings, key: str = "doc_id", text: str = "text", source: str = "source", weight: Column | None = None) -> DataFrame:
+def mix(docs: DataFrame, settings: MixSettings, key: str = "doc_id", text: str = "text", source: str = "source", weight: Column | None = None, drawn_by: tuple[str, ...] = ()) -> DataFrame:
     """``(key, source, size, source_size, target, copies, taken)``, a row for each row.
 
     ``weight``: relative inclusion odds of a document, over the columns of ``docs``; null
-    counts as 1. A null or empty text has size 0 and takes part in whole copies only. A
+    counts as 1. The random numbers come from the columns ``drawn_by``, key and text unless
+    given. A null or empty text has size 0 and takes part in whole copies only. A
     null source is a source of its own, the last. Repeated rows are drawn one by one;
     which of equal rows is drawn is of no account. Without words all targets are 0.
     """
     relative = F.lit(1.0) if weight is None else F.greatest(F.lit(settings.least_weight), F.least(F.lit(settings.most_weight), F.coalesce(weight.cast("double"), F.lit(1.0))))
-    drawn = F.xxhash64(F.lit(settings.seed), F.col(f"`{key}`"), F.col(f"`{text}`"))
+    drawn = F.xxhash64(F.lit(settings.seed), *[F.col(f"`{c}`") for c in drawn_by or (key, text)])
     u = (F.shiftrightunsigned(drawn, 11) + 0.5) / float(1 << 53)
     ratio = odds(u) / relative
     sized = docs.select(

@@ -129,7 +129,7 @@ def readings(written: str, i: int) -> list[tuple[str, float]]:
         options.append(("", log(0.2)))
     if c in SEPARATORS:
         options.append(("", log(0.6)))
-    options.append((" ", log(0.02 if stands else 0.3)))
+    options.append((" ", log(0.002 if stands else 0.3)))
     return options
 
 
@@ -161,15 +161,15 @@ class Restored(dict):
         self.model, self.settings = model, settings
 
     def __missing__(self, token: str) -> str:
-        core = token.strip(EDGES)
-        low = core.lower()
-        if low.isalpha() and not REPEATED.search(low):
-            words = low
+        body = token.lower().rstrip(EDGES)
+        core = body.lstrip(EDGES)
+        if len(body) - len(core) == 1 and body[0] in "$|(":  # one such mark may be the first letter
+            core = body
+        odd = REPEATED.search(core) or any(c in STANDS_FOR or c in SEPARATORS for c in core)
+        if odd and len(core) <= self.settings.longest and any(c.isalpha() for c in core):
+            words = restore(core, self.model, self.settings.beam)
         else:
-            words = " ".join(LETTERS.findall(low))
-            inner = token.lower().rstrip(EDGES.replace("$", "").replace("|", "")).lstrip(EDGES.replace("$", "").replace("|", "").replace("(", ""))
-            if any(c.isalpha() for c in inner) and len(inner) <= self.settings.longest and (REPEATED.search(inner) or any(c in STANDS_FOR or c in SEPARATORS for c in inner)):
-                words = restore(inner, self.model, self.settings.beam)
+            words = " ".join(LETTERS.findall(core))
         if len(self) >= self.settings.remembered:
             self.clear()
         self[token] = words
