@@ -149,7 +149,7 @@ def leaf_pairs(leaf: DataFrame, settings: SimHashSettings) -> DataFrame:
 
 def spanning(x: np.ndarray, y: np.ndarray, same: bool, radius: int) -> tuple[np.ndarray, np.ndarray]:
     """Links between two leaves, thinned to a spanning forest of them."""
-    near = np.bitwise_count(x[:, None] ^ y[None, :]) <= radius
+    near = np.bitwise_count((x[:, None] ^ y[None, :]).view(np.uint64)) <= radius  # of signed numbers it counts the absolute value's
     if same:
         near = np.triu(near, 1)
     i, j = np.nonzero(near)
