@@ -120,12 +120,11 @@ class ForestSettings:
     max_depth: int = 30  # the deepest tree Spark ML grows
     min_instances: int = 2
     seed: int = 42
-    # The forest bins every row densely, so its input width is bounded by an
-    # ANOVA F selection; None trains on the whole vocabulary.
-    select_top: int | None = 4096
-    # Trees sample per partition. None lets the session size the partitions by the
-    # data; a number also makes fits on differently sized clusters repeatable.
-    partitions: int | None = None
+    # Features kept by an ANOVA F selection before the forest; None keeps all.
+    select_top: int | None = None
+    # Trees sample within partitions, so a fixed number makes fits repeatable whatever
+    # the cluster; raise it with the number of labelled rows.
+    partitions: int = 32
 
 
 @dataclass(frozen=True)

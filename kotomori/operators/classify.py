@@ -6,16 +6,15 @@ All functions take a frame with ``features``, ``label_id`` and a key column.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
-from dataclasses import replace
+from dataclasses import dataclass, replace
 from functools import reduce
+from itertools import product
 from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
-from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.feature import UnivariateFeatureSelector
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,12 +27,11 @@ from kotomori.operators.splits import kfold
 TUNING_GRID = {"trees": (100, 200), "max_depth": (30, 20), "min_instances": (1, 2)}
 
 
-def training_frame(df: DataFrame, key: str, partitions: int | None = FOREST.partitions) -> DataFrame:
+def training_frame(df: DataFrame, key: str, partitions: int = FOREST.partitions) -> DataFrame:
     """Balanced class weights, and rows in an order that does not depend on how they
     arrived, for trees sample within partitions."""
     weighted = with_class_weight(df).withColumn("label", F.col("label_id").cast("double"))
-    by = (partitions, key) if partitions else (key,)
-    return weighted.repartitionByRange(*by).sortWithinPartitions(key)
+    return weighted.repartitionByRange(partitions, key).sortWithinPartitions(key)
 
 
 def fit(estimator: Estimator, train: DataFrame) -> PipelineModel:
@@ -115,7 +113,7 @@ def cross_validate(
     k: int = 5,
     seed: int = 42,
     parallelism: int = 4,
-    partitions: int | None = FOREST.partitions,
+    partitions: int = FOREST.partitions,
 ) -> DataFrame:
     """``(fold, f1_macro, f1_weighted, accuracy)``, one row per stratified fold."""
     folds = kfold(df, "label_id", key, k, seed, eager=True)
@@ -158,15 +156,16 @@ def cross_validation_summary(per_fold: DataFrame) -> DataFrame:
     )
 
 
-class MacroF1(Evaluator):
-    """Unweighted mean of the class F1 values, which Spark's evaluator lacks."""
+@dataclass
+class GridSearch:
+    candidates: list[ForestSettings]
+    f1_macro: list[float]
+    bestModel: PipelineModel
 
-    def _evaluate(self, dataset: DataFrame) -> float:
-        scored = dataset.withColumn("y_pred", F.col("prediction").cast("int"))
-        return fold_metrics(scored).first()["f1_macro"]
-
-    def isLargerBetter(self) -> bool:
-        return True
+    @property
+    def best(self) -> int:
+        """The first candidate with the best mean macro F1."""
+        return self.f1_macro.index(max(self.f1_macro))
 
 
 def grid_search(
@@ -176,46 +175,34 @@ def grid_search(
     grid: dict[str, Iterable] = TUNING_GRID,
     k: int = 3,
     parallelism: int = 4,
-) -> CrossValidatorModel:
-    """Forest grid on stratified folds, best macro F1 refitted on all rows."""
-    pipeline = random_forest(settings)
-    forest = pipeline.getStages()[-1]
-    params = {"trees": forest.numTrees, "max_depth": forest.maxDepth, "min_instances": forest.minInstancesPerNode}
-    builder = ParamGridBuilder()
-    for name, values in grid.items():
-        builder = builder.addGrid(params[name], list(values))
-    train = training_frame(kfold(df, "label_id", key, k, settings.seed, eager=True), key, settings.partitions)
-    search = CrossValidator(
-        estimator=pipeline,
-        estimatorParamMaps=builder.build(),
-        evaluator=MacroF1(),
-        numFolds=k,
-        foldCol="fold",
-        parallelism=parallelism,
-        seed=settings.seed,
-    )
-    return search.fit(train)
+) -> GridSearch:
+    """Forest grid on stratified folds, best macro F1 refitted on all rows.
+
+    Class weights are those of the rows a forest is fitted on, so each fold has its own.
+    """
+    candidates = [replace(settings, **dict(zip(grid, values))) for values in product(*grid.values())]
+    folds = kfold(df, "label_id", key, k, settings.seed, eager=True)
+    totals = [0.0] * len(candidates)
+    with ThreadPool(parallelism) as pool:
+        for fold in range(k):
+            train = training_frame(folds.where(F.col("fold") != fold).drop("fold"), key, settings.partitions).persist()
+            held_out = folds.where(F.col("fold") == fold)
+
+            def one(candidate: ForestSettings, train=train, held_out=held_out) -> float:
+                return fold_metrics(predict(random_forest(candidate).fit(train), held_out)).first()["f1_macro"]
+
+            for i, f1 in enumerate(pool.map(one, candidates)):
+                totals[i] += f1 / k
+            train.unpersist()
+    best = candidates[totals.index(max(totals))]
+    model = fit(random_forest(best), training_frame(df, key, settings.partitions))
+    return GridSearch(candidates, totals, model)
 
 
-def grid_results(search: CrossValidatorModel, df: DataFrame) -> DataFrame:
+def grid_results(search: GridSearch, df: DataFrame) -> DataFrame:
     """``(trees, max_depth, min_instances, f1_macro, best)`` of a finished search."""
-    rows = [
-        {p.name: v for p, v in params.items()} | {"f1": metric}
-        for params, metric in zip(search.getEstimatorParamMaps(), search.avgMetrics)
-    ]
-    top = max(search.avgMetrics)
-    first = search.avgMetrics.index(top)
-    cells = [
-        F.struct(
-            F.lit(r.get("numTrees")).cast("int").alias("trees"),
-            F.lit(r.get("maxDepth")).cast("int").alias("max_depth"),
-            F.lit(r.get("minInstancesPerNode")).cast("int").alias("min_instances"),
-            F.lit(float(r["f1"])).alias("f1_macro"),
-            F.lit(i == first).alias("best"),
-        )
-        for i, r in enumerate(rows)
-    ]
-    return df.sparkSession.range(1).select(F.inline(F.array(*cells)))
+    rows = [(c.trees, c.max_depth, c.min_instances, f1, i == search.best) for i, (c, f1) in enumerate(zip(search.candidates, search.f1_macro))]
+    return df.sparkSession.createDataFrame(rows, "trees int, max_depth int, min_instances int, f1_macro double, best boolean")
 
 
 def train_model(df: DataFrame, key: str, tune: bool = False, path: str | None = None, settings: ForestSettings = FOREST) -> PipelineModel:

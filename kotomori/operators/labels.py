@@ -38,7 +38,7 @@ def class_weights(df: DataFrame, label: str = "label_id") -> DataFrame:
 def with_class_weight(df: DataFrame, label: str = "label_id", out: str = "class_weight") -> DataFrame:
     """Add the balanced weight of each row's class.
 
-    One row per class of the closed label domain, hence the broadcast.
+    The weights have a row per class; Spark broadcasts them if that is small.
     """
     weights = class_weights(df, label).select(label, F.col("weight").alias(out))
-    return df.join(F.broadcast(weights), label)
+    return df.join(weights, label)

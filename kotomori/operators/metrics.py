@@ -15,7 +15,8 @@ CLASS_IDS = tuple(range(len(LABELS)))
 def confusion_counts(scored: DataFrame, y_true: str = "y_true", y_pred: str = "y_pred") -> DataFrame:
     """``(y_true, y_pred, n)`` for every pair of classes, absent pairs as zero.
 
-    Conditional counts in a single row, then one row per cell: the label domain is
+    Every row counts: a class that is NULL or unknown on either side is an error when
+    the counts are read. :func:`outside` gives those rows, to set them aside. Conditional counts in a single row, then one row per cell: the label domain is
     closed, so the matrix needs no join against it.
     """
     cells = [(t, p) for t in CLASS_IDS for p in CLASS_IDS]
@@ -28,7 +29,19 @@ def confusion_counts(scored: DataFrame, y_true: str = "y_true", y_pred: str = "y
             for t, p in cells
         ]
     )
-    return scored.agg(*counts).select(F.inline(rows))
+    unknown = F.count_if(_outside(y_true, y_pred)).alias("outside")
+    said = F.concat(F.col("outside").cast("string"), F.lit(f" rows with a class of {y_true} or {y_pred} outside {CLASS_IDS}"))
+    checked = F.when(F.col("outside") == 0, rows).otherwise(F.raise_error(said))
+    return scored.agg(*counts, unknown).select(F.inline(checked))
+
+
+def _outside(y_true: str, y_pred: str) -> Column:
+    return ~F.coalesce(F.col(y_true).isin(*CLASS_IDS) & F.col(y_pred).isin(*CLASS_IDS), F.lit(False))
+
+
+def outside(scored: DataFrame, y_true: str = "y_true", y_pred: str = "y_pred") -> DataFrame:
+    """Rows with a class that is NULL or unknown, which no metric can count."""
+    return scored.where(_outside(y_true, y_pred))
 
 
 def confusion_normalised(confusion: DataFrame) -> DataFrame:

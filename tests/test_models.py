@@ -1,4 +1,3 @@
-import math
 from dataclasses import replace
 
 import pytest
@@ -135,12 +134,6 @@ def test_refit_per_fold(spark, sf):
     assert len(got) == 2 and all(0 <= r.f1_macro <= 1 for r in got)
 
 
-def test_macro_f1_evaluator(spark):
-    df = spark.createDataFrame([(0, 0.0), (1, 0.0), (1, 1.0), (2, 2.0)], "label_id int, prediction double")
-    assert C.MacroF1().evaluate(df) == pytest.approx((2 / 3 + 2 / 3 + 1) / 3)
-    assert not math.isnan(C.MacroF1().evaluate(df)) and C.MacroF1().isLargerBetter()
-
-
 def test_missing_columns_fail_early(spark):
     with pytest.raises(ValueError, match="label"):
         train(spark.range(1).withColumn("text", F.lit("x")))
