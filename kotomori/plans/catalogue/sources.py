@@ -10,7 +10,7 @@ from kotomori.operators import metrics as M
 from kotomori.operators import triage as G
 from kotomori.operators.features import TfidfModel
 from kotomori.operators.splits import stratified_split
-from kotomori.plans.catalogue.base import ORACLES, SCORED, documents, labelled, register, scored, sql_name
+from kotomori.plans.catalogue.base import JUDGED, ORACLES, documents, judged, labelled, register, scored, sql_name
 from kotomori.plans.catalogue.features import SQL_UNION
 from kotomori.plans.catalogue.triage import SQL_TAXONOMY, SQL_TIER_POLICY, TIERED, records
 from kotomori.plans.scoring import prediction_records
@@ -24,9 +24,10 @@ FROM documents JOIN labels USING (doc_id)"""
 @register("scan_corpus", CORPUS_SQL)
 def scan_corpus(spark, sf):
     path = shared_folder(spark, "corpus")
-    sinks.sink_predictions_csv(labelled(spark, sf), path)
+    rows = labelled(spark, sf).select("label", F.lit("x").alias("note"), "text", "id")
+    sinks.sink_predictions_csv(rows, path)  # neither the order nor the columns of the schema
     good, _ = corpus.split_corrupt(corpus.scan_corpus(spark, path))
-    return good
+    return good.select("id", "text", "label")
 
 
 @register("require_columns", CORPUS_SQL)
@@ -68,11 +69,11 @@ def sink_predictions_csv(spark, sf):
 
 @register(
     "sink_errors_csv",
-    f"""WITH {SCORED} SELECT doc_id, raw AS text, {sql_name('y_true')} AS true_label, {sql_name('y_pred')} AS predicted_label
-FROM scored WHERE y_true <> y_pred""",
+    f"""WITH {JUDGED} SELECT doc_id, raw AS text, {sql_name('y_true')} AS true_label, {sql_name('y_pred')} AS predicted_label
+FROM judged WHERE y_true <> y_pred""",
 )
 def sink_errors_csv(spark, sf):
-    rows = M.error_rows(scored(spark, sf), "doc_id", "raw").withColumnRenamed("raw", "text")
+    rows = M.error_rows(judged(spark, sf), "doc_id", "raw").withColumnRenamed("raw", "text")
     path = shared_folder(spark, "errors")
     sinks.sink_errors_csv(rows, path)
     good, _ = corpus.split_corrupt(corpus.scan_corpus(spark, path, rows.schema))
@@ -81,7 +82,7 @@ def sink_errors_csv(spark, sf):
 
 @register("sink_summary", ORACLES["run_summary"])
 def sink_summary(spark, sf):
-    rows = scored(spark, sf)
+    rows = judged(spark, sf)
     split = stratified_split(rows.select("doc_id", F.col("y_true").alias("label_id")), "label_id", "doc_id")
     summary, path = M.run_summary(rows, split, M.confusion_counts(rows), RISK.high), shared_folder(spark, "summary")
     sinks.sink_summary(summary, path)

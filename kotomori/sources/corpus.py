@@ -30,24 +30,31 @@ def scan_corpus(
     schema: T.StructType = CORPUS,
     multi_line: bool = True,
 ) -> DataFrame:
-    """CSV with a header. Rows that do not parse carry their text in
-    ``_corrupt_record``; see :func:`split_corrupt`.
+    """CSV with a header, read by its names in any order.
+
+    ``schema`` types the columns it names; others are strings, and what the header lacks
+    is missing from the result. All files need the header of the first; Spark refuses
+    others. Rows that do not parse carry their text in ``_corrupt_record``; see
+    :func:`split_corrupt`.
 
     Quoted line breaks keep a CSV file from being split, so large corpora belong
     in many files, or in Parquet; ``multi_line=False`` splits again.
     """
-    checked = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
-    return (
-        spark.read.schema(checked)
-        .option("header", True)
-        .option("multiLine", multi_line)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("ignoreLeadingWhiteSpace", False)
-        .option("ignoreTrailingWhiteSpace", False)
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .csv(path)
-    )
+    options = {
+        "header": True,
+        "multiLine": multi_line,
+        "quote": '"',
+        "escape": '"',
+        "ignoreLeadingWhiteSpace": False,
+        "ignoreTrailingWhiteSpace": False,
+        "columnNameOfCorruptRecord": CORRUPT,
+        "enforceSchema": False,
+    }
+    header = spark.read.options(**options).csv(path).columns  # reads the first line
+    known = {f.name: f for f in schema.fields}
+    fields = [known.get(name, T.StructField(name, T.StringType())) for name in header]
+    checked = T.StructType(fields + [T.StructField(CORRUPT, T.StringType())])
+    return spark.read.options(**options).schema(checked).csv(path)
 
 
 def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
