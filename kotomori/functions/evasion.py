@@ -75,25 +75,28 @@ def with_evasion(
     """Add ``normalized``, ``original_length``, the signals, ``script_info``,
     ``abuse_patterns_found`` and ``risk``.
 
-    Each step is its own projection, so no expression is evaluated twice.
+    The chain is one struct, each step of which sees the one before by name. Its first
+    step calls Java, which Spark takes for non-deterministic, so a filter on any of
+    these columns is neither pushed into the chain nor makes Spark repeat it.
     """
+    wide = F.transform(F.array(nfkc(F.col(text))), lambda w: F.struct(w.alias("wide"), fold_homoglyphs(w).alias("folded")))
+    joined = F.transform(wide, lambda x: F.struct(x["wide"].alias("wide"), x["folded"].alias("folded"), strip_inserted_symbols(x["folded"]).alias("joined")))
+    chain = F.transform(joined, lambda x: F.struct(x["wide"].alias("wide"), x["folded"].alias("folded"), x["joined"].alias("joined"), collapse_elongation(x["joined"]).alias("normalized")))
     return (
-        df.withColumn("_wide", nfkc(F.col(text)))
-        .withColumn("_folded", fold_homoglyphs(F.col("_wide")))
-        .withColumn("_joined", strip_inserted_symbols(F.col("_folded")))
-        .withColumn("normalized", collapse_elongation(F.col("_joined")))
+        df.withColumn("_chain", F.get(chain, F.lit(0)))
         .withColumns(
             {
+                "normalized": F.col("_chain.normalized"),
                 "original_length": F.char_length(text),
-                "had_fullwidth": F.col("_wide") != F.col(text),
-                "had_homoglyphs": F.col("_folded") != F.col("_wide"),
-                "had_symbol_insertion": F.col("_joined") != F.col("_folded"),
-                "had_elongation": F.col("normalized") != F.col("_joined"),
-                "script_info": script_flags(F.col("normalized")),
-                "abuse_patterns_found": lexicon_hits(F.col("normalized"), lexicon),
+                "had_fullwidth": F.col("_chain.wide") != F.col(text),
+                "had_homoglyphs": F.col("_chain.folded") != F.col("_chain.wide"),
+                "had_symbol_insertion": F.col("_chain.joined") != F.col("_chain.folded"),
+                "had_elongation": F.col("_chain.normalized") != F.col("_chain.joined"),
+                "script_info": script_flags(F.col("_chain.normalized")),
+                "abuse_patterns_found": lexicon_hits(F.col("_chain.normalized"), lexicon),
             }
         )
-        .drop("_wide", "_folded", "_joined")
+        .drop("_chain")
         .withColumn("risk", risk_score(weights))
     )
 

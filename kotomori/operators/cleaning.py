@@ -56,25 +56,20 @@ def high_risk_rate(df: DataFrame, *by: str, weights: RiskWeights = RISK) -> Data
     )
 
 
-def lemmatise(df: DataFrame, lemmas: DataFrame, key: str, tokens: str = "tokens", salts: int = 16) -> DataFrame:
+def lemmatise(df: DataFrame, lemmas: DataFrame, key: str, tokens: str = "tokens") -> DataFrame:
     """``(key, tokens)`` with tokens replaced by their lemma from ``lemmas(surface,
     lemma)``, order kept; a missing list becomes an empty one.
 
-    The dictionary may be of any size. Frequent tokens would pull a shuffled join
-    onto single tasks, so tokens are salted and each dictionary row is copied per
-    salt; where the copies still fit Spark's own limit it broadcasts them.
+    The dictionary may be of any size; of several lemmas the first in order counts. Each
+    distinct token of a row is looked up once, an inner join that keeps the hits only and
+    whose frequent tokens Spark may split. A row then replaces its tokens by itself, from
+    the hits of its key.
     """
-    placed = df.select(key, F.posexplode_outer(tokens).alias("pos", "surface")).withColumn(
-        "salt", F.pmod(F.xxhash64(key, "pos"), F.lit(salts)).cast("int")
-    )
-    copies = lemmas.dropDuplicates(["surface"]).withColumn(
-        "salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    )
-    # rows without a position come from empty lists; collect_list skips them
-    token = F.when(F.col("pos").isNotNull(), F.struct("pos", F.coalesce("lemma", "surface").alias("t")))
-    return (
-        placed.join(copies, ["surface", "salt"], "left")
-        .groupBy(key)
-        .agg(F.sort_array(F.collect_list(token)).alias("_placed"))
-        .select(key, F.col("_placed.t").alias(tokens))
-    )
+    rows = df.select(key, F.coalesce(tokens, F.array().cast("array<string>")).alias("_tokens"))
+    known = lemmas.where("surface IS NOT NULL AND lemma IS NOT NULL").groupBy("surface").agg(F.min("lemma").alias("lemma"))
+    hits = rows.select(F.col(key).alias("_key"), F.explode(F.array_distinct("_tokens")).alias("surface")).join(known, "surface")
+    # rows with one key share their hits: a lemma does not depend on the row
+    found = hits.groupBy("_key").agg(F.map_from_entries(F.collect_set(F.struct("surface", "lemma"))).alias("_found"))
+    lemma = F.transform("_tokens", lambda t: F.coalesce(F.try_element_at("_found", t), t))
+    joined = rows.join(found, F.col(key).eqNullSafe(F.col("_key")), "left")
+    return joined.select(key, F.when(F.col("_found").isNull(), F.col("_tokens")).otherwise(lemma).alias(tokens))

@@ -8,6 +8,9 @@ and is what models and streams use.
 
 from __future__ import annotations
 
+import json
+from dataclasses import asdict
+
 import numpy as np
 import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
@@ -122,13 +125,13 @@ def fit_vocabulary(df: DataFrame, text: str, settings: FeatureSettings = FEATURE
 def tfidf_long(df: DataFrame, key: str, text: str, vocab: DataFrame, block: str, settings: FeatureSettings = FEATURES) -> DataFrame:
     """``(key, block, term_id, term, tf, weight)``, unit length per row and block.
 
-    The vocabulary side has at most ``max_word_terms``/``max_char_terms`` rows,
-    which is what allows the broadcast.
+    The vocabulary side has at most ``max_word_terms``/``max_char_terms`` rows, so that
+    Spark broadcasts it where its size allows.
     """
     known = vocab.where(F.col("block") == block).select("block", "term", "term_id", "idf")
     raw = (
         document_terms(df, key, text, block, settings)
-        .join(F.broadcast(known), "term")
+        .join(known, "term")
         .withColumn("raw", sublinear_tf(F.col("tf")) * F.col("idf"))
     )
     norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(key)))
@@ -170,11 +173,19 @@ class TfidfModel:
         return cls(pin(fit_vocabulary(df, text, settings), "vocabulary"), settings)
 
     def save(self, path: str) -> None:
-        self.table.coalesce(1).write.mode("overwrite").parquet(path)
+        """Terms and settings, as two tables below ``path``."""
+        self.table.coalesce(1).write.mode("overwrite").parquet(f"{path}/terms")
+        row = self.spark.range(1).select(F.lit(json.dumps(asdict(self.settings))).alias("value"))
+        row.coalesce(1).write.mode("overwrite").text(f"{path}/settings")
 
     @classmethod
-    def load(cls, spark: SparkSession, path: str, settings: FeatureSettings = FEATURES) -> TfidfModel:
-        return cls(spark.read.parquet(path), settings)
+    def load(cls, spark: SparkSession, path: str, settings: FeatureSettings | None = None) -> TfidfModel:
+        """The saved model; settings that are given have to be those it was fitted with."""
+        saved = json.loads(spark.read.text(f"{path}/settings").first().value)
+        found = FeatureSettings(**{k: tuple(v) if isinstance(v, list) else v for k, v in saved.items()})
+        if settings is not None and settings != found:
+            raise ValueError(f"fitted with {found}, not {settings}")
+        return cls(spark.read.parquet(f"{path}/terms"), found)
 
     def transform(self, df: DataFrame, text: str = "processed_text", out: str = "features") -> DataFrame:
         """Add the sparse vector of ``text``; stateless, so it also runs on streams."""
@@ -193,19 +204,22 @@ class TfidfModel:
         # a sparse vector is transported as the struct behind its type
         @F.pandas_udf(VectorUDT())
         def weigh(*parts: pd.Series) -> pd.DataFrame:
-            rows = []
-            for row in zip(*parts):
-                ids, weights = [], []
-                for n, (term_ids, idf) in enumerate(shared.value):
-                    at = np.asarray(row[2 * n], dtype=np.int32)
-                    w = (1.0 + np.log(row[2 * n + 1])) * idf[at]
-                    norm = np.sqrt(w @ w)
-                    ids.append(term_ids[at])
-                    weights.append(w / norm if norm else w)
-                all_ids, all_weights = np.concatenate(ids), np.concatenate(weights)
-                order = np.argsort(all_ids)
-                rows.append((0, size, all_ids[order], all_weights[order]))
-            return pd.DataFrame(rows, columns=["type", "size", "indices", "values"])
+            n_rows = len(parts[0])
+            rows, ids, weights = [], [], []
+            for n, (term_ids, idf) in enumerate(shared.value):
+                counts = parts[2 * n].map(len).to_numpy()
+                row = np.repeat(np.arange(n_rows), counts)
+                at = np.concatenate([np.empty(0, np.int32), *parts[2 * n]]).astype(np.int32)
+                w = (1.0 + np.log(np.concatenate([np.empty(0), *parts[2 * n + 1]]))) * idf[at]
+                norms = np.sqrt(np.bincount(row, weights=w * w, minlength=n_rows))
+                rows.append(row)
+                ids.append(term_ids[at])
+                weights.append(w / np.where(norms > 0, norms, 1.0)[row])
+            row, all_ids, all_weights = (np.concatenate(x) for x in (rows, ids, weights))
+            order = np.lexsort((all_ids, row))
+            cuts = np.cumsum(np.bincount(row, minlength=n_rows))[:-1]
+            cells = {name: pd.Series(np.split(x[order], cuts), dtype=object) for name, x in (("indices", all_ids), ("values", all_weights))}
+            return pd.DataFrame({"type": np.zeros(n_rows, np.int8), "size": size, **cells})
 
         return weigh
 

@@ -43,16 +43,22 @@ def escalation_rate(records: DataFrame) -> DataFrame:
     )
 
 
+def for_each_class(rules: DataFrame, column: str) -> DataFrame:
+    """Rules without a class, once for each class; all others as they are."""
+    every = F.array(*[F.lit(x) for x in LABELS])
+    return rules.withColumn(column, F.explode(F.when(F.col(column).isNull(), every).otherwise(F.array(column))))
+
+
 def with_policy_tier(scored: DataFrame, rules: DataFrame, out: str = "policy_tier") -> DataFrame:
     """Add the tier of the first rule that holds, else the default of the class.
 
     ``rules``: ``(priority, rule_no, tier, predicted_class, risk_min, conf_min,
-    conf_max)``. Reads ``predicted_class``, ``risk`` and ``confidence``.
+    conf_max)``; a rule without a class holds for every class. Reads ``predicted_class``, ``risk`` and ``confidence``.
     """
     order = F.sort_array(
         F.collect_list(F.struct("priority", "rule_no", "tier", "risk_min", "conf_min", "conf_max"))
     )
-    per_class = rules.where(F.col("predicted_class").isin(*LABELS)).groupBy("predicted_class").agg(order.alias("_rules"))
+    per_class = for_each_class(rules, "predicted_class").groupBy("predicted_class").agg(order.alias("_rules"))
 
     def holds(rule: Column) -> Column:
         return (
@@ -61,8 +67,8 @@ def with_policy_tier(scored: DataFrame, rules: DataFrame, out: str = "policy_tie
             & (rule["conf_max"].isNull() | (F.col("confidence") <= rule["conf_max"]))
         )
 
-    # at most one row per class of the closed label domain, hence the broadcast
-    joined = scored.join(F.broadcast(per_class), "predicted_class", "left")
+    # a row per class the policy names; Spark broadcasts it if it is small
+    joined = scored.join(per_class, "predicted_class", "left")
     first = F.get(F.filter("_rules", holds), F.lit(0))["tier"]
     return joined.withColumn(
         out, F.coalesce(first, default_severity(F.col("predicted_class")))
@@ -142,12 +148,12 @@ def with_taxonomy(scored: DataFrame, taxonomy: DataFrame, text: str) -> DataFram
         F.char_length("phrase").alias("len"), (-F.col("position")).alias("rank"), "phrase", "subcategory", "escalate"
     )
     per_class = (
-        taxonomy.where(F.col("class").isin(*LABELS))
+        for_each_class(taxonomy, "class")
         .groupBy(F.col("class").alias("predicted_class"))
         .agg(F.collect_list(entry).alias("_phrases"))
     )
-    # at most one row per class of the closed label domain, hence the broadcast
-    joined = scored.join(F.broadcast(per_class), "predicted_class", "left")
+    # a row per class the taxonomy names; Spark broadcasts it if it is small
+    joined = scored.join(per_class, "predicted_class", "left")
     best = F.array_max(F.filter("_phrases", lambda p: F.contains(F.col(text), p["phrase"])))
     return (
         joined.withColumn("_best", best)

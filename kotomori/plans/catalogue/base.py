@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from kotomori.config import LABELS, LEXICON, LOOKALIKE_FROM, LOOKALIKE_TO, RISK
 from kotomori.functions.evasion import with_evasion
 from kotomori.functions.text import SPACES
-from kotomori.session import spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -37,7 +36,7 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 def documents(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
     df = table(spark, sf, "documents")
-    return spread(df.select(*columns) if columns else df)
+    return df.select(*columns) if columns else df
 
 
 # ---- evaded documents ------------------------------------------------------
@@ -187,10 +186,9 @@ def hash_share(key: str, start: int) -> Column:
 
 
 def scored(spark: SparkSession, sf: str) -> DataFrame:
-    """Labelled evaded documents with a rule for the prediction, so that everything
-    after a model can be checked exactly."""
-    rows = evaded(spark, sf).join(labels(spark, sf), "doc_id").withColumnRenamed("label_id", "y_true")
-    with_risk = with_evasion(rows, "raw")
+    """All evaded documents with a rule for the prediction, so that everything after a
+    model can be checked exactly."""
+    with_risk = with_evasion(evaded(spark, sf), "raw")
     y_pred = F.when(F.col("risk") > 0.4, 0).when(F.col("n_chars") < 500, 2).otherwise(1)
     return (
         with_risk.withColumn("y_pred", y_pred)
@@ -199,8 +197,13 @@ def scored(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def sql_share(start: int) -> str:
-    return f"(('0x' || substr(md5(doc_id::VARCHAR), {start}, 4))::INT % 1001) / 1000::DOUBLE"
+def judged(spark: SparkSession, sf: str) -> DataFrame:
+    """The scored documents that have a true class, for the metrics."""
+    return scored(spark, sf).join(labels(spark, sf).withColumnRenamed("label_id", "y_true"), "doc_id")
+
+
+def sql_share(start: int, key: str = "doc_id") -> str:
+    return f"(('0x' || substr(md5({key}::VARCHAR), {start}, 4))::INT % 1001) / 1000::DOUBLE"
 
 
 def sql_name(column: str) -> str:
@@ -210,9 +213,10 @@ def sql_name(column: str) -> str:
 TRUTH = f"truth AS (SELECT doc_id, {CLASS_RULE} AS label_id FROM labels)"
 
 SCORED = f"""{SIGNALS},
-{TRUTH},
 ruled AS (
-  SELECT s.*, t.label_id AS y_true,
-    CASE WHEN risk > 0.4::DOUBLE THEN 0 WHEN n_chars < 500 THEN 2 ELSE 1 END AS y_pred
-  FROM signals s JOIN truth t USING (doc_id)),
+  SELECT s.*, CASE WHEN risk > 0.4::DOUBLE THEN 0 WHEN n_chars < 500 THEN 2 ELSE 1 END AS y_pred FROM signals s),
 scored AS (SELECT *, {sql_name('y_pred')} AS predicted_class, {sql_share(1)} AS confidence FROM ruled)"""
+
+JUDGED = f"""{SCORED},
+{TRUTH},
+judged AS (SELECT s.*, t.label_id AS y_true FROM scored s JOIN truth t USING (doc_id))"""

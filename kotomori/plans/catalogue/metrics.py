@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 from kotomori.config import LABELS, RISK, SEVERITY_WEIGHTS
 from kotomori.operators import metrics as M
 from kotomori.operators.splits import stratified_split
-from kotomori.plans.catalogue.base import SCORED, register, scored, sql_name
+from kotomori.plans.catalogue.base import JUDGED, judged, register, sql_name
 from kotomori.plans.catalogue.labels import RANKED
 
 IDS = "(SELECT unnest([0, 1, 2]) AS id)"
-CONFUSION = f"""{SCORED},
+CONFUSION = f"""{JUDGED},
 confusion AS (SELECT a.id AS y_true, b.id AS y_pred, count(s.doc_id) AS n
-  FROM {IDS} a CROSS JOIN {IDS} b LEFT JOIN scored s ON s.y_true = a.id AND s.y_pred = b.id GROUP BY a.id, b.id)"""
+  FROM {IDS} a CROSS JOIN {IDS} b LEFT JOIN judged s ON s.y_true = a.id AND s.y_pred = b.id GROUP BY a.id, b.id)"""
 BY_CLASS = f"""{CONFUSION},
 per_class AS (SELECT id, hit, support, guess,
     CASE WHEN guess = 0 THEN 0 ELSE hit / guess::DOUBLE END AS precision,
@@ -25,7 +25,7 @@ per_class AS (SELECT id, hit, support, guess,
 
 
 def confusion(spark, sf):
-    return M.confusion_counts(scored(spark, sf))
+    return M.confusion_counts(judged(spark, sf))
 
 
 def rounded(df, *names):
@@ -101,13 +101,13 @@ def full_evaluation(spark, sf):
     return rounded(M.evaluation_summary(confusion(spark, sf)), *SCALARS, "severity_weighted_accuracy")
 
 
-ERRORS = f"""{SCORED},
+ERRORS = f"""{JUDGED},
 errors AS (SELECT doc_id, raw, {sql_name('y_true')} AS true_label, {sql_name('y_pred')} AS predicted_label
-  FROM scored WHERE y_true <> y_pred)"""
+  FROM judged WHERE y_true <> y_pred)"""
 
 
 def errors(spark, sf):
-    return M.error_rows(scored(spark, sf), "doc_id", "raw")
+    return M.error_rows(judged(spark, sf), "doc_id", "raw")
 
 
 @register("error_rows", f"WITH {ERRORS} SELECT * FROM errors")
@@ -117,8 +117,8 @@ def error_rows(spark, sf):
 
 @register(
     "error_rate",
-    f"""WITH {SCORED} SELECT count(*) FILTER (y_true <> y_pred) AS n_errors, count(*) AS n_total,
-  round(100.0::DOUBLE * count(*) FILTER (y_true <> y_pred) / count(*), 1) AS error_pct FROM scored""",
+    f"""WITH {JUDGED} SELECT count(*) FILTER (y_true <> y_pred) AS n_errors, count(*) AS n_total,
+  round(100.0::DOUBLE * count(*) FILTER (y_true <> y_pred) / count(*), 1) AS error_pct FROM judged""",
 )
 def error_rate(spark, sf):
     return M.error_rate(confusion(spark, sf))
@@ -141,11 +141,11 @@ sizes AS (SELECT count(*) FILTER (r > round(0.2::DOUBLE * n)) AS train_samples,
 s AS (SELECT {SQL_F1}, {SQL_SEVERITY} AS sev FROM per_class)
 SELECT train_samples, test_samples, round(f1_macro, 4) AS f1_macro, round(f1_weighted, 4) AS f1_weighted,
   round(sev, 4) AS severity_weighted_accuracy,
-  (SELECT round(100.0::DOUBLE * count(*) FILTER (risk > 0.4::DOUBLE) / count(*), 2) FROM scored) AS high_adversarial_risk_pct
+  (SELECT round(100.0::DOUBLE * count(*) FILTER (risk > 0.4::DOUBLE) / count(*), 2) FROM judged) AS high_adversarial_risk_pct
 FROM s CROSS JOIN sizes""",
 )
 def run_summary(spark, sf):
-    rows = scored(spark, sf)
+    rows = judged(spark, sf)
     split = stratified_split(rows.select("doc_id", F.col("y_true").alias("label_id")), "label_id", "doc_id")
     return M.run_summary(rows, split, M.confusion_counts(rows), RISK.high)
 

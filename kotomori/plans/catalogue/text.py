@@ -18,14 +18,13 @@ from kotomori.plans.catalogue.base import (
     register,
     table,
 )
-from kotomori.session import spread
 
 RUNS = X.SCRIPT_RUN
 SQL_URL = X.URL
 
 
 def pages(spark, sf):
-    return spread(table(spark, sf, "pages").select("page_id", "html"))
+    return table(spark, sf, "pages").select("page_id", "html")
 
 
 @register("nfkc", f"WITH {EVADED}, {WIDENED} SELECT doc_id, wide AS text FROM widened")
@@ -52,12 +51,13 @@ def squash_ws(spark, sf):
 @register(
     "guard_text",
     f"""SELECT conv_id, turn, role, CASE WHEN regexp_matches(t, '{SQL_NON_SPACE}') THEN t ELSE '' END AS text
-FROM (SELECT conv_id, turn, role, CASE WHEN role = 'user' THEN NULL WHEN turn % 3 = 0 THEN chr(12288) ELSE text END AS t
-      FROM conversations)""",
+FROM (SELECT conv_id, turn, role, text AS t FROM conversations UNION ALL
+      SELECT conv_id, turn, role, CASE WHEN turn % 3 = 0 THEN chr(12288) END AS t FROM conversations WHERE role = 'user')""",
 )
 def guard_text(spark, sf):
-    t = F.when(F.col("role") == "user", F.lit(None)).when(F.col("turn") % 3 == 0, F.lit("　")).otherwise(F.col("text"))
-    return table(spark, sf, "conversations").select("conv_id", "turn", "role", X.guard_text(t).alias("text"))
+    turns = table(spark, sf, "conversations")
+    blank = turns.where("role = 'user'").withColumn("text", F.when(F.col("turn") % 3 == 0, F.lit("　")))
+    return turns.unionByName(blank).select("conv_id", "turn", "role", X.guard_text(F.col("text")).alias("text"))
 
 
 @register(
@@ -128,14 +128,13 @@ def clean_corpus_query(spark, sf):
 # conversation turns plus one blank copy of each user turn
 @register(
     "drop_report",
-    """SELECT count(*) AS n_total, count(*) FILTER (role = 'user') AS n_dropped, count(*) FILTER (role <> 'user') AS n_kept
+    """SELECT count(*) + count(*) FILTER (role = 'user') AS n_total, count(*) FILTER (role = 'user') AS n_dropped, count(*) AS n_kept
 FROM conversations""",
 )
 def drop_report_query(spark, sf):
-    blanked = table(spark, sf, "conversations").select(
-        F.when(F.col("role") == "user", F.lit(" 　 ")).otherwise(F.col("text")).alias("text")
-    )
-    return drop_report(blanked)
+    turns = table(spark, sf, "conversations")
+    blank = turns.where("role = 'user'").select(F.lit(" 　 ").alias("text"))
+    return drop_report(turns.select("text").unionByName(blank))
 
 
 # lemma table: every word that occurs with and without a final "s"

@@ -1,4 +1,4 @@
-"""Session settings and the two helpers that touch physical layout."""
+"""Session settings, and lineage cuts in the shared folder."""
 
 from __future__ import annotations
 
@@ -43,13 +43,3 @@ def pin(df: DataFrame, name: str) -> DataFrame:
     path = shared_folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Give a scan with fewer splits than cores one partition per core.
-
-    The move is bounded by cores x ``spark.sql.files.maxPartitionBytes``; any
-    larger input has more splits than cores and is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
