@@ -111,19 +111,44 @@ def tier_priority(tier: Column) -> Column:
     return F.array_position(F.array(*[F.lit(t) for t in QUEUE_ORDER]), tier)
 
 
-def review_queue(records: DataFrame, key: str, tier: str = "severity_tier", risk: str = "risk", top: int | None = None) -> DataFrame:
-    """Escalated rows, most urgent first. The filter precedes the sort, the sort is
-    a range shuffle, and ``top`` turns it into a bounded per-task heap."""
-    queue = (
-        records.where("escalate_to_human")
-        .withColumn("queue_rank", tier_priority(F.col(tier)))
-        .orderBy("queue_rank", F.desc(risk), key)
+def tier_table(policy: DataFrame) -> DataFrame:
+    """``(_tier, queue_rank, action, sla_minutes)``, a row for each tier of a scanned policy."""
+    return policy.groupBy(F.col("tier").alias("_tier")).agg(
+        F.min("priority").alias("queue_rank"), F.min("action").alias("action"), F.min("sla_minutes").alias("sla_minutes")
     )
+
+
+def review_queue(
+    records: DataFrame,
+    key: str,
+    tier: str = "severity_tier",
+    risk: str = "risk",
+    top: int | None = None,
+    policy: DataFrame | None = None,
+) -> DataFrame:
+    """Escalated rows, most urgent first, in the order of the policy or the built-in one.
+
+    The filter precedes the sort, the sort is a range shuffle, and ``top`` turns it into a
+    bounded per-task heap. A tier that the policy does not name comes last.
+    """
+    urgent = records.where("escalate_to_human")
+    if policy is None:
+        ranked = urgent.withColumn("queue_rank", tier_priority(F.col(tier)))
+    else:
+        ranks = tier_table(policy).select("_tier", "queue_rank")
+        ranked = urgent.join(ranks, F.col(tier) == F.col("_tier"), "left").drop("_tier")
+    queue = ranked.orderBy(F.asc_nulls_last("queue_rank"), F.desc(risk), key)
     return queue if top is None else queue.limit(top)
 
 
-def with_sla(records: DataFrame, tier: str = "severity_tier", submitted_at: str | None = None) -> DataFrame:
-    """Add ``action`` and ``sla_minutes`` and, given a time of arrival, ``due_at``."""
+def with_sla(
+    records: DataFrame, tier: str = "severity_tier", submitted_at: str | None = None, policy: DataFrame | None = None
+) -> DataFrame:
+    """Add ``action`` and ``sla_minutes``, of the policy or the built-in ones, and, given a
+    time of arrival, ``due_at``."""
+    if policy is not None:
+        terms = tier_table(policy).drop("queue_rank")
+        return _with_due(records.join(terms, F.col(tier) == F.col("_tier"), "left").drop("_tier"), submitted_at)
     actions = [x for t, a, _ in TIER_ACTIONS for x in (F.lit(t), F.lit(a))]
     minutes = [x for t, _, m in TIER_ACTIONS for x in (F.lit(t), F.lit(m))]
     out = records.withColumns(
@@ -132,20 +157,33 @@ def with_sla(records: DataFrame, tier: str = "severity_tier", submitted_at: str
             "sla_minutes": F.try_element_at(F.create_map(*minutes), F.col(tier)),
         }
     )
+    return _with_due(out, submitted_at)
+
+
+def _with_due(out: DataFrame, submitted_at: str | None) -> DataFrame:
     if submitted_at is None:
         return out
     wait = F.make_dt_interval(F.lit(0), F.lit(0), F.col("sla_minutes"), F.lit(0))
     return out.withColumn("due_at", F.col(submitted_at) + wait)
 
 
+def with_default_severity(scored: DataFrame, taxonomy: DataFrame, out: str = "severity") -> DataFrame:
+    """Add the default tier that the taxonomy gives to the class; the built-in one else."""
+    given = taxonomy.groupBy(F.col("class").alias("_class")).agg(F.min("severity_default").alias("_default"))
+    joined = scored.join(given, F.col("predicted_class") == F.col("_class"), "left")
+    return joined.withColumn(out, F.coalesce("_default", default_severity(F.col("predicted_class")))).drop("_class", "_default")
+
+
 def with_taxonomy(scored: DataFrame, taxonomy: DataFrame, text: str) -> DataFrame:
-    """Add ``category``, ``subcategory``, ``subcategory_escalate``.
+    """Add ``category``, ``subcategory``, ``subcategory_name``, ``subcategory_escalate``.
 
-    ``taxonomy``: ``(class, position, subcategory, escalate, phrase)``. The longest
+    ``taxonomy``: ``(class, position, subcategory, name, escalate, phrase)``, ``name`` if
+    there is one; a phrase without a class holds for every class. The longest
     example phrase contained in the text decides, then the taxonomy's order.
     """
+    name = F.col("name") if "name" in taxonomy.columns else F.lit(None).cast("string")
     entry = F.struct(
-        F.char_length("phrase").alias("len"), (-F.col("position")).alias("rank"), "phrase", "subcategory", "escalate"
+        F.char_length("phrase").alias("len"), (-F.col("position")).alias("rank"), "phrase", "subcategory", "escalate", name.alias("name")
     )
     per_class = (
         for_each_class(taxonomy, "class")
@@ -161,6 +199,7 @@ def with_taxonomy(scored: DataFrame, taxonomy: DataFrame, text: str) -> DataFram
             {
                 "category": F.col("predicted_class"),
                 "subcategory": F.col("_best.subcategory"),
+                "subcategory_name": F.col("_best.name"),
                 "subcategory_escalate": F.col("_best.escalate"),
             }
         )

@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import functions as F
 
-from kotomori.config import RISK
+from kotomori.config import RISK, TAXONOMY
 from kotomori.functions.evasion import SIGNALS as SIGNAL_COLUMNS
 from kotomori.operators import metrics as M
 from kotomori.operators import triage as G
 from kotomori.operators.features import TfidfModel
 from kotomori.operators.splits import stratified_split
-from kotomori.plans.catalogue.base import JUDGED, ORACLES, documents, judged, labelled, register, scored, sql_name
+from kotomori.plans.catalogue.base import JUDGED, ORACLES, SCORED, documents, judged, labelled, quoted, register, scored, sql_name
 from kotomori.plans.catalogue.features import SQL_UNION
 from kotomori.plans.catalogue.triage import SQL_TAXONOMY, SQL_TIER_POLICY, TIERED, records
-from kotomori.plans.scoring import prediction_records
+from kotomori.plans.scoring import documented_records, prediction_records
 from kotomori.session import shared_folder
 from kotomori.sources import corpus, policy, sinks
 
@@ -114,3 +116,75 @@ def scan_tier_policy(spark, sf):
     rules = policy.scan_tier_policy(spark, _written(spark, "tiers", policy.policy_documents()[1]))
     rows = G.with_policy_tier(scored(spark, sf), rules)
     return rows.select("doc_id", "predicted_class", "confidence", "policy_tier")
+
+
+# ---- a policy that differs from the built-in one in all it says --------------
+
+OWN_TIERS = (("LOW", "drop", 11), ("CRITICAL", "call", 7), ("MEDIUM", "wait", 500), ("HIGH", "look", 90))
+OWN_DEFAULTS = {"abusive_content": "LOW", "negative_sentiment": "CRITICAL"}
+
+
+def _own_policy(spark):
+    document = json.loads(policy.policy_documents()[1])
+    for tier, action, minutes in OWN_TIERS:
+        document["severity_tiers"][tier] |= {"action": action, "sla_minutes": minutes}
+    document["review_queue_priority"] = [tier for tier, _, _ in OWN_TIERS]
+    return policy.scan_tier_policy(spark, _written(spark, "tiers", json.dumps(document)))
+
+
+def _own_taxonomy(spark):
+    document = json.loads(policy.policy_documents()[0])
+    for label, tier in OWN_DEFAULTS.items():
+        document["categories"][label]["severity_default"] = tier
+    return policy.scan_taxonomy(spark, _written(spark, "taxonomy", json.dumps(document)))
+
+
+OWN_VALUES = ", ".join(f"({i + 1}, '{t}', '{a}', {m})" for i, (t, a, m) in enumerate(OWN_TIERS))
+OWN = f"""WITH {TIERED}, own(queue_rank, tier, action, sla_minutes) AS (VALUES {OWN_VALUES}),
+terms AS (SELECT * FROM records LEFT JOIN own ON severity_tier = tier)"""
+
+
+@register(
+    "review_queue_policy",
+    f"""{OWN} SELECT doc_id, severity_tier, queue_rank, round(risk, 3) AS risk FROM terms WHERE escalate_to_human""",
+)
+def review_queue_policy(spark, sf):
+    rows = G.review_queue(records(spark, sf), "doc_id", policy=_own_policy(spark))
+    return rows.select("doc_id", "severity_tier", "queue_rank", F.round("risk", 3).alias("risk"))
+
+
+@register("sla_due_policy", f"{OWN} SELECT doc_id, severity_tier, action, sla_minutes FROM terms")
+def sla_due_policy(spark, sf):
+    return G.with_sla(records(spark, sf), policy=_own_policy(spark)).select("doc_id", "severity_tier", "action", "sla_minutes")
+
+
+@register(
+    "default_severity_policy",
+    f"""WITH {SCORED} SELECT doc_id, CASE predicted_class WHEN 'abusive_content' THEN 'LOW'
+  WHEN 'negative_sentiment' THEN 'CRITICAL' ELSE 'LOW' END AS severity FROM scored""",
+)
+def default_severity_policy(spark, sf):
+    return G.with_default_severity(scored(spark, sf), _own_taxonomy(spark)).select("doc_id", "severity")
+
+
+def _named_taxonomy() -> str:
+    names = ", ".join(f"({quoted(s)}, {quoted(n)})" for s, n in dict((t[1], t[2]) for t in TAXONOMY).items())
+    return f"named(id, name) AS (VALUES {names})"
+
+
+@register(
+    "documented_records",
+    f"""WITH {TIERED}, {_named_taxonomy()}, found AS ({SQL_TAXONOMY.replace("WITH " + SCORED + ",", "WITH")})
+SELECT r.doc_id, coalesce(name, category) AS category, subcategory, severity_tier, escalate_to_human,
+  array_to_string(list_filter([
+    CASE WHEN had_fullwidth OR had_homoglyphs OR had_symbol_insertion OR had_elongation THEN 'adversarial_text_detected' END,
+    CASE WHEN japanese AND latin THEN 'code_switching' END], lambda x: x IS NOT NULL), ',') AS flags
+FROM records r JOIN found f ON f.doc_id = r.doc_id LEFT JOIN named ON id = subcategory""",
+)
+def documented_records_query(spark, sf):
+    """The documented nested record, laid flat."""
+    rows = G.with_taxonomy(records(spark, sf), policy.builtin_taxonomy(spark), "normalized")
+    flat = documented_records(rows.withColumn("raw", F.col("doc_id")), "raw")
+    return flat.select(
+        F.col("raw").alias("doc_id"), "taxonomy.category", "taxonomy.subcategory", "severity_tier", "escalate_to_human", F.array_join("taxonomy.flags", ",").alias("flags")
+    )

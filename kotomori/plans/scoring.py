@@ -41,15 +41,15 @@ def prediction_records(scored: DataFrame, key: str, text: str = "text") -> DataF
 
 
 def documented_records(scored: DataFrame, text: str = "text") -> DataFrame:
-    """The richer record with its nested taxonomy; ``scored`` has been through
-    ``with_taxonomy``."""
+    """The richer record with its nested taxonomy, named as the taxonomy names it, or by the
+    class where no phrase was found; ``scored`` has been through ``with_taxonomy``."""
     return scored.select(
         text,
         "predicted_class",
         "confidence",
         "severity_tier",
         "escalate_to_human",
-        F.struct("category", "subcategory", row_flags().alias("flags")).alias("taxonomy"),
+        F.struct(F.coalesce("subcategory_name", "category").alias("category"), "subcategory", row_flags().alias("flags")).alias("taxonomy"),
     )
 
 
