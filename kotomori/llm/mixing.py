@@ -13,8 +13,8 @@ odds times the document's weight.
 
 The order is never made for a whole source. A histogram over equal parts of the order
 finds the part where the target is reached; earlier parts are taken whole, and only that
-part is sorted. What is then missing is closed by the documents of fitting size that come
-first in the order.
+part is sorted. Then a few documents are drawn or given back, each the one that brings
+the source nearest to its target; of equal ones the first in the order.
 """
 
 from __future__ import annotations
@@ -43,7 +43,7 @@ class MixSettings:
     #: Bounds of a document's weight.
     least_weight: float = 1 / 16
     most_weight: float = 16.0
-    #: Single documents that may close what is missing; only the last one may overshoot.
+    #: Documents of a source that are drawn or given back, one after the other, to come nearer to the target.
     closing: int = 3
     seed: int = 6
 
@@ -119,14 +119,14 @@ def mix(docs: DataFrame, settings: MixSettings, key: str = "doc_id", text: str =
     extra = (F.col("part") < F.col("last_part")) | F.coalesce("inside", F.lit(False))
     drawn = pin(placed.join(inside, "row", "left").withColumn("extra", extra).drop("part", "last_part", "before", "inside"), "mix-drawn")
 
-    for left in reversed(range(settings.closing)):
+    for _ in range(settings.closing):
         taken = F.sum(F.when(F.col("extra"), F.col("size")).otherwise(0))
-        short = drawn.groupBy(F.col("source").alias("of")).agg((F.first("wanted") - taken).alias("short")).where("short >= 1")
-        off = F.abs(F.col("size") - F.col("short"))
-        fits = off < F.col("short") if left == 0 else F.col("size").between(1, F.col("short"))
-        fit = drawn.join(short, of).where(~F.col("extra") & fits)
+        short = drawn.groupBy(F.col("source").alias("of")).agg((F.first("wanted") - taken).alias("short")).where("abs(short) >= 1")
+        change = F.when(F.col("extra"), -F.col("size")).otherwise(F.col("size"))
+        off = F.abs(F.col("short") - change)
+        fit = drawn.join(short, of).where((off < F.abs("short")) & (F.col("whole") < settings.most))
         fit = fit.groupBy("of").agg(F.min(F.struct(off.alias("off"), "ratio", "row"))["row"].alias("row"))
-        drawn = drawn.join(fit.select("row", F.lit(True).alias("closes")), "row", "left").withColumn("extra", F.col("extra") | F.coalesce("closes", F.lit(False))).drop("closes")
+        drawn = drawn.join(fit.select("row", F.lit(True).alias("turns")), "row", "left").withColumn("extra", F.col("extra") != F.coalesce("turns", F.lit(False))).drop("turns")
 
     copies = F.col("whole") + F.col("extra").cast("int")
     return drawn.select(

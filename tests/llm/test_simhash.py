@@ -1,8 +1,11 @@
 """SimHash components against all pairs."""
 
+import re
+
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from kotomori.llm.simhash import SimHashSettings, components, fingerprint, gray_rank, links, near_duplicates, op5_simhash
 from tests.llm.rows import awkward, empty
@@ -10,7 +13,7 @@ from tests.llm.rows import awkward, empty
 
 def plain_fingerprint(text):
     text = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)
-    words = [w for w in __import__("re").split(r"[\x20\x09-\x0D]+", text) if w]
+    words = [w for w in re.split(r"[\x20\x09-\x0D]+", text) if w]
     if not words:
         return 0
     shingles = [" ".join(words[i : i + 3]) for i in range(len(words) - 2)] or [" ".join(words)]
@@ -62,7 +65,7 @@ def test_links_connect_what_all_pairs_connect(spark, kind):
 
 
 def test_gray_neighbours_differ_in_one_bit(spark):
-    df = spark.range(256).select("id", gray_rank(__import__("pyspark.sql.functions", fromlist=["col"]).col("id")).alias("rank"))
+    df = spark.range(256).select("id", gray_rank(F.col("id")).alias("rank"))
     order = [r.id for r in sorted(df.collect(), key=lambda r: r.rank)]
     assert all(bin(a ^ b).count("1") == 1 for a, b in zip(order, order[1:]))
 
