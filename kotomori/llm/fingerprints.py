@@ -123,30 +123,26 @@ def key_ranges(df: DataFrame, settings: SyncmerSettings) -> Column:
 
 
 def with_next(rows: DataFrame, settings: SyncmerSettings) -> DataFrame:
-    """Adds ``next_text`` and ``next_sketch``: those of the row after, in key order; the
-    first row comes after the last.
+    """Adds ``sketch``, and ``next_text`` and ``next_sketch`` of the row after in key order;
+    the first row comes after the last.
 
-    Rows are dealt by key ranges and the window runs inside a range. The last row of a
-    range takes the first row of the next one, of which there is one for each range.
+    Rows are dealt by key ranges and the window runs inside a range. The first row of
+    each range also goes, as a copy, to the end of the range before it, so that the
+    window finds it there; copies are told by their place and leave again. Of rows with
+    one key and text one copy is enough.
     """
     rows = rows.withColumn("range", key_ranges(rows, settings)).withColumn("tie", F.xxhash64("text"))
-    heads = rows.groupBy("range").agg(F.min(F.struct("key", "tie")).alias("h")).select(F.col("h.key").alias("h_key"), F.col("h.tie").alias("h_tie"), "range")
-    before = F.coalesce(F.lag("range").over(Window.orderBy("range")), F.max("range").over(Window.orderBy("range").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
-    heads = heads.withColumn("before", before).drop("range")  # one row for each range
-    first = rows.select("key", "tie", "text").join(F.broadcast(heads), F.col("key").eqNullSafe(F.col("h_key")) & (F.col("tie") == F.col("h_tie")))
-    first = first.dropDuplicates(["before"]).select(F.col("before").alias("range"), F.col("text").alias("head_text"))
-    first = with_sketch(first, settings, "head_text", "head_sketch")
-    order = Window.partitionBy("range").orderBy("key", "tie")
-    led = rows.withColumn("next_text", F.lead("text").over(order)).withColumn("next_sketch", F.lead("sketch").over(order))
-    is_last = F.col("next_text").isNull()
-    # A row inside a range needs no head, so only the last of a range asks for one.
-    led = led.withColumn("asks", F.when(is_last, F.col("range")))
-    return (
-        led.join(F.broadcast(first.withColumnRenamed("range", "asks")), "asks", "left")
-        .withColumn("next_text", F.coalesce("next_text", "head_text"))
-        .withColumn("next_sketch", F.coalesce("next_sketch", "head_sketch"))
-        .drop("asks", "range", "tie", "head_text", "head_sketch")
-    )
+    heads = rows.groupBy("range").agg(F.min(F.struct("key", "tie")).alias("h"))
+    in_order = Window.orderBy("range")  # one row for each range
+    last = F.max("range").over(in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    heads = heads.select(F.col("h.key").alias("h_key"), F.col("h.tie").alias("h_tie"), F.coalesce(F.lag("range").over(in_order), last).alias("before"))
+    at_head = F.col("key").eqNullSafe(F.col("h_key")) & (F.col("tie") == F.col("h_tie"))
+    # a key and two numbers for each range, and there are at most 4 times as many ranges as partitions
+    copies = rows.join(F.broadcast(heads), at_head).dropDuplicates(["before"]).withColumn("range", F.col("before")).drop("h_key", "h_tie", "before")
+    every = with_sketch(rows.withColumn("copy", F.lit(False)).unionByName(copies.withColumn("copy", F.lit(True))), settings)
+    order = Window.partitionBy("range").orderBy("copy", "key", "tie")
+    led = every.withColumn("next_text", F.lead("text").over(order)).withColumn("next_sketch", F.lead("sketch").over(order))
+    return led.where("NOT copy").drop("range", "tie", "copy")
 
 
 @register("op3_fingerprints")
@@ -163,8 +159,7 @@ def compare_edited(docs: DataFrame, settings: SyncmerSettings, key: str = "doc_i
     next one. Keys are whole numbers; ranges of keys are dealt, so repeats of one key
     meet in one range, where they are sorted with spilling.
     """
-    rows = with_sketch(texts(docs, key, text).withColumn("key", F.col("key").cast("long")), settings)
-    rows = with_next(rows, settings)
+    rows = with_next(texts(docs, key, text).withColumn("key", F.col("key").cast("long")), settings)
     size = F.length("text")
     half = F.floor(size / 2).cast("int")
     rows = rows.withColumn("n_chars", size.cast("long")).withColumn("edited", F.concat(F.left("text", size - half), F.left("next_text", half)))

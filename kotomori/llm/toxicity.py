@@ -54,10 +54,10 @@ class ToxicitySettings:
     buckets: int = 1 << 20
     features: int = 512
     #: Lengths of word beginnings that are features beside whole words.
-    prefixes: tuple[int, ...] = (4, 5, 6, 7)
+    prefixes: tuple[int, ...] = (3, 4, 5, 6, 7)
     #: Toxic documents that a feature must occur in.
     least: int = 3
-    penalty: float = 1.0
+    penalty: float = 0.3
     steps: int = 30
     seed: int = 7
     remembered: int = 200_000
