@@ -12,8 +12,11 @@ from kotomori.functions.evasion import SIGNALS as SIGNAL_COLUMNS
 from kotomori.functions.evasion import with_evasion
 from kotomori.operators import classify as C
 from kotomori.operators.features import TfidfModel, fit_hashed_tfidf
-from kotomori.plans.catalogue.base import SIGNALS, documents, labelled, register
-from kotomori.plans.scoring import score_corpus
+from kotomori.config import LABELS
+from kotomori.plans.catalogue.base import SIGNALS, documents, evaded, labelled, register
+from kotomori.plans.catalogue.evasion import CLEAN_FIRST
+from kotomori.plans.catalogue.labels import RANKED
+from kotomori.plans.scoring import score_corpus, score_rows
 from kotomori.plans.training import prepared_split, train
 from kotomori.session import pin, shared_folder
 from kotomori.streaming.scoring import read_stream, score_stream, write_stream
@@ -146,3 +149,73 @@ def stream_evasion(spark, sf):
     write_stream(rows, path, checkpoint, available_now=True).awaitTermination()
     return spark.read.parquet(path)
 
+
+# ---- what can be known exactly about a model's results ------------------------
+
+
+@register(
+    "score_corpus_checked",
+    f"""WITH {CLEAN_FIRST}
+SELECT doc_id, substr(e.raw, 1, 60) || '...' AS text_preview, round(s.risk, 6) AS risk, {", ".join(f"s.{x}" for x in SIGNAL_COLUMNS)},
+  true AS tier_follows, true AS escalation_follows, true AS confidence_in_range
+FROM signals s JOIN evaded e USING (doc_id)""",
+)
+def score_corpus_checked(spark, sf):
+    """Scores of all evaded documents: what does not depend on the model, and whether the
+    rest follows from class and risk."""
+    run = trained(spark, sf)
+    rows = evaded(spark, sf).withColumnRenamed("raw", "text")
+    scored = score_rows(rows, run.model, run.features)
+    abusive, other = F.col("predicted_class") == LABELS[0], F.col("predicted_class") == LABELS[2]
+    tier = F.when(abusive & (F.col("risk") > 0.4), "CRITICAL").when(abusive, "HIGH").when(other, "LOW").otherwise("MEDIUM")
+    return scored.select(
+        "doc_id",
+        F.concat(F.left("text", F.lit(60)), F.lit("...")).alias("text_preview"),
+        F.round("risk", 6).alias("risk"),
+        *SIGNAL_COLUMNS,
+        (F.col("severity_tier") == tier).alias("tier_follows"),
+        (F.col("escalate_to_human") == F.col("severity_tier").isin("HIGH", "CRITICAL")).alias("escalation_follows"),
+        F.col("confidence").between(0.3333, 1.0).alias("confidence_in_range"),
+    )
+
+
+HELD_OUT = f"""WITH {RANKED} SELECT doc_id, true AS sums_to_one, true AS class_is_likeliest
+FROM ranked WHERE r <= round(0.2::DOUBLE * n)"""
+
+
+def _held_out_checked(scored):
+    """Every held-out row, with what has to hold for its probabilities."""
+    p = F.col("probabilities")
+    total = F.aggregate(p, F.lit(0.0), lambda a, x: a + x)
+    likeliest = F.get(p, F.col("y_pred")) == F.array_max(p)
+    return scored.select(F.col("id").alias("doc_id"), (F.abs(total - 1) < 1e-9).alias("sums_to_one"), likeliest.alias("class_is_likeliest"))
+
+
+@register("predict_checked", HELD_OUT)
+def predict_checked(spark, sf):
+    return _held_out_checked(trained(spark, sf).predictions)
+
+
+@register("logistic_checked", HELD_OUT)
+def logistic_checked(spark, sf):
+    rows = _train(spark, sf)
+    model = C.fit(C.logistic_baseline(rows.count()), C.training_frame(rows, "id"))
+    return _held_out_checked(C.predict(model, _test(spark, sf)))
+
+
+@register("save_model_checked", f"SELECT count(*) AS n, 0 AS n_changed FROM ({HELD_OUT})")
+def save_model_checked(spark, sf):
+    """A reloaded model gives each held-out row the same probabilities."""
+    path = shared_folder(spark, "classifier")
+    C.save_model(trained(spark, sf).model, path)
+    again = C.predict(C.load_model(path), _test(spark, sf)).select("id", F.col("probabilities").alias("p"))
+    both = trained(spark, sf).predictions.select("id", "probabilities").join(again, "id", "full")
+    return both.agg(F.count("*").alias("n"), F.count_if(~F.col("p").eqNullSafe(F.col("probabilities"))).cast("int").alias("n_changed"))
+
+
+@register("train_model_checked", f"WITH {RANKED} SELECT label_id AS class_id, count(*) AS support FROM ranked WHERE r <= round(0.2::DOUBLE * n) GROUP BY label_id")
+def train_model_checked(spark, sf):
+    """Supports of the classes in the report of the trained forest."""
+    report = trained(spark, sf).report
+    ids = F.array_position(F.array(*[F.lit(x) for x in LABELS]), F.col("name")).cast("int") - 1
+    return report.where(F.col("name").isin(*LABELS)).select(ids.alias("class_id"), "support")
