@@ -121,10 +121,11 @@ def top_k(vectors: DataFrame, is_query: Column, settings: SearchSettings, key: s
     deal = lambda n: F.pmod(F.xxhash64("row"), F.lit(n)).cast("int")
     shards = packed(rows.withColumn("shard", deal(n_shards)), "shard", width)
     tiles = packed(rows.where("is_query").withColumn("tile", deal(n_tiles)), "tile", width)
-    # Every shard meets every tile: the shard is sent once for each tile, by the tile's number.
-    sent = shards.withColumn("tile", F.explode(F.sequence(F.lit(0), F.lit(n_tiles - 1))))
-    pairs = sent.join(tiles.select("tile", F.col("ids").alias("q_ids"), F.col("rows").alias("q_rows"), F.col("matrix").alias("q_matrix")), "tile")
-    pairs = pairs.repartition(n_shards * n_tiles, "tile", "shard")
+    # Every shard meets every tile: each is sent once for each of the others, so that a pair
+    # has a key of its own and no task holds more than its share of the pairs.
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    queries = tiles.select("tile", each(n_shards).alias("shard"), F.col("ids").alias("q_ids"), F.col("rows").alias("q_rows"), F.col("matrix").alias("q_matrix"))
+    pairs = shards.withColumn("tile", each(n_tiles)).join(queries, ["tile", "shard"])
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
