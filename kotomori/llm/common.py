@@ -14,7 +14,7 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 #: Characters of text that a task turns into Python strings at a time.
-SLICE_CHARS = 4_000_000
+SLICE_CHARS = 1_000_000
 
 
 def register(name: str, sql: str | None = None):

@@ -123,11 +123,13 @@ def pooled(texts_: list[str], tokens: Tokens, vectors: np.ndarray, settings: Qua
         return out
     docs = [hashes[i] for i in filled]
     sizes = np.array([len(d) for d in docs])
-    starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
-    classes = indexed(np.concatenate(docs), settings)[0]
-    v = vectors[classes]
-    mean = np.add.reduceat(v, starts) / sizes[:, None]
-    spread = np.sqrt(np.maximum(np.add.reduceat(v * v, starts) / sizes[:, None] - mean**2, 0))
+    # Vectors are looked up once for each class of a document, of which there are at most ``classes``.
+    owner = np.repeat(np.arange(len(docs)), sizes)
+    cells, counts = np.unique(owner * settings.classes + indexed(np.concatenate(docs), settings)[0], return_counts=True)
+    starts = np.searchsorted(cells, np.arange(len(docs)) * settings.classes)
+    v, share = vectors[cells % settings.classes], (counts / sizes[cells // settings.classes])[:, None]
+    mean = np.add.reduceat(v * share, starts)
+    spread = np.sqrt(np.maximum(np.add.reduceat(v * v * share, starts) - mean**2, 0))
     own = neighbours(docs, [np.full(len(d), i) for i, d in enumerate(docs)], len(docs), settings) / sizes[:, None]
     distinct = np.array([len(np.unique(d)) for d in docs]) / sizes
     out[filled] = np.hstack([mean, spread, own, distinct[:, None], np.log1p(sizes)[:, None]])
