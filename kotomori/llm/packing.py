@@ -214,8 +214,8 @@ def pack(docs: DataFrame, settings: PackSettings, key: str = "doc_id", text: str
         for rows_, part in slices(batches):
             keys = rows_.column("key")
             of = keys.type
-            for k, text in zip(keys.to_pylist(), part):
-                out.extend(packer.add(k, np.frombuffer(words.of(text) + end, dtype="<u4")))
+            for k, ids in zip(keys.to_pylist(), words.of(part)):
+                out.extend(packer.add(k, np.frombuffer(ids + end, dtype="<u4")))
             if len(out) > 5000:
                 yield batch()
         out.extend(packer.finish())

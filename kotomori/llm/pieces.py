@@ -9,8 +9,9 @@ Unicode version (``DISPUTED``) and for texts that hold a special token.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterable
+from collections.abc import Callable
 
+import numpy as np
 import regex
 
 from kotomori.llm.common import load_tokenizer
@@ -63,43 +64,79 @@ def byte_pieces(path: str, special: str = "<|endoftext|>") -> Callable[[str], tu
     return split
 
 
-def token_counts(path: str, pieces: Iterable[str]) -> list[int]:
+def token_counts(path: str, pieces: list[str]) -> list[int]:
     """The number of ids of each pre-token."""
-    tokenizer = load_tokenizer(path)
-    return [len(e) for e in tokenizer.encode_batch(list(pieces), add_special_tokens=False)]
+    return [len(e.ids) for e in merges_only(path, at_spaces=False).encode_batch_fast(pieces, add_special_tokens=False)]
+
+
+def merges_only(path: str, at_spaces: bool):
+    """The tokenizer's merges without its normal forms and pattern, for text that is a
+    pre-token, or pre-tokens with spaces between them."""
+    key = (path, at_spaces)
+    if key not in _MERGES:
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        to_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        _MERGES[key] = Tokenizer(load_tokenizer(path).model)
+        _MERGES[key].pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), to_bytes]) if at_spaces else to_bytes
+    return _MERGES[key]
+
+
+_MERGES: dict = {}
 
 
 class WordIds(dict):
     """Pre-token of the word-end tokenizer -> its ids as little-endian 32-bit bytes.
 
-    ``limit`` bounds the number of words kept; the table starts afresh beyond it.
+    Words are tokenized many at a time, with spaces between them; their ids are told
+    apart by the ends of words. ``limit`` bounds the number of words kept; the table
+    starts afresh beyond it.
     """
 
     SPECIALS = ("<|startoftext|>", "<|endoftext|>")
+    TOGETHER = 500
 
     def __init__(self, path: str, limit: int = 300_000):
         super().__init__()
         self.tokenizer, self.limit = load_tokenizer(path), limit
+        self.merges = merges_only(path, at_spaces=True)
         self.fast, self.wide = latin(WORD_PATTERN).findall, regex.compile(WORD_PATTERN).findall
-
-    @staticmethod
-    def packed(ids: Iterable[int]) -> bytes:
-        return b"".join(i.to_bytes(4, "little") for i in ids)
-
-    def __missing__(self, piece: str) -> bytes:
-        ids = self.packed(self.tokenizer.encode(piece, add_special_tokens=False).ids)
-        if len(self) >= self.limit:
-            self.clear()
-        if len(piece) <= 256:
-            self[piece] = ids
-        return ids
-
-    def of(self, text: str) -> bytes:
-        """The ids of a whole text."""
+        vocab = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocab.values()) + 1, dtype=bool)
+        self.ends[[i for token, i in vocab.items() if token.endswith("</w>")]] = True
+
+    def encoded(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+    def learn(self, words: list[str]) -> None:
+        chunks = [words[k : k + self.TOGETHER] for k in range(0, len(words), self.TOGETHER)]
+        for chunk, found in zip(chunks, self.merges.encode_batch_fast([" ".join(c) for c in chunks], add_special_tokens=False)):
+            ids = np.array(found.ids, dtype="<u4")
+            stops = (np.flatnonzero(self.ends[ids]) + 1).tolist()
+            if len(stops) == len(chunk):
+                raw, start = ids.tobytes(), 0
+                for word, stop in zip(chunk, stops):
+                    self[word] = raw[4 * start : 4 * stop]
+                    start = stop
+            else:
+                self.update((word, self.encoded(word)) for word in chunk)
+
+    def words(self, text: str) -> list[str] | None:
+        """The pre-tokens of a text; None if the tokenizer itself has to read it."""
         if is_latin(text) and "<|" not in text:
-            words = self.fast(text.lower())
-        elif any(s in text for s in self.SPECIALS) or DISPUTED.search(low := self.tokenizer.normalizer.normalize_str(text)):
-            return self.packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
-        else:
-            words = self.wide(low)
-        return b"".join(map(self.__getitem__, words))
+            return self.fast(text.lower())
+        if any(s in text for s in self.SPECIALS) or DISPUTED.search(low := self.tokenizer.normalizer.normalize_str(text)):
+            return None
+        return self.wide(low)
+
+    def of(self, texts: list[str]) -> list[bytes]:
+        """The ids of whole texts."""
+        split = [self.words(t) for t in texts]
+        needed = set().union(*(w for w in split if w is not None))
+        new = [w for w in needed if w not in self]
+        if len(self) + len(new) > self.limit:
+            self.clear()
+            new = list(needed)
+        self.learn(new)
+        get = self.__getitem__
+        return [self.encoded(t) if w is None else b"".join(map(get, w)) for w, t in zip(split, texts)]
