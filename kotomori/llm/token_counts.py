@@ -30,7 +30,7 @@ from kotomori.session import pin
 class CountSettings:
     tokenizer: str
     #: Bound of the frequent pre-tokens that every task holds.
-    shared: int = 1 << 18
+    shared: int = 1 << 19
     #: Longer pre-tokens are never among them, so their bytes are bounded, too.
     shared_chars: int = 48
     #: Distinct pre-tokens that a task sums before it hands them on.
