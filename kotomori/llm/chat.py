@@ -61,8 +61,9 @@ class ChatSettings:
 TOLD = re.compile(r"^\s*(?:you are|you must|always|never|do not|respond|reply|act as)\b", re.IGNORECASE)
 
 
-def emission(line: str, settings: ChatSettings) -> tuple[np.ndarray, str]:
-    """Log likelihood of a line for each role, and the line without its marker."""
+def emission(line: str, settings: ChatSettings) -> tuple[np.ndarray, str, int | None]:
+    """Log likelihood of a line for each role, the line without its marker, and the
+    marker's role."""
     marker = MARKER.match(line)
     rest = line[marker.end() :] if marker else line
     role = MARKERS[marker[1].lower()] if marker else None
@@ -72,7 +73,11 @@ def emission(line: str, settings: ChatSettings) -> tuple[np.ndarray, str]:
         for is_, share in ((rest.rstrip().endswith("?"), settings.question[r]), (len(rest) < settings.short_chars, settings.short[r]), (bool(TOLD.match(rest)), settings.told[r])):
             p *= share if is_ else 1 - share
         seen[r] = np.log(p)
-    return seen, rest
+    return seen, rest, role
+
+
+#: A line as written, its words after the marker (None: it has none), and the marker's role.
+Line = tuple[str, str | None, int | None]
 
 
 def chain(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -80,14 +85,15 @@ def chain(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a[:, :, None] + b[None]).max(axis=1)
 
 
-def steps(text: str, settings: ChatSettings) -> tuple[list[np.ndarray], list[str | None]]:
+def steps(text: str, settings: ChatSettings) -> tuple[list[np.ndarray], list[Line]]:
     """The matrix of each line of a row (role before -> role of the line), and its words."""
     within, between = np.log(settings.within), np.log(settings.between)
     matrices, lines = [], []
     for i, line in enumerate(text.split("\n")):
-        seen, rest = emission(line, settings)
+        seen, rest, role = emission(line, settings)
         matrices.append((within if i else between) + seen[None])
-        lines.append(None if rest != line and not rest.strip() and "\n" in text else rest)  # a marker on a line of its own says nothing
+        alone = rest != line and not rest.strip() and "\n" in text  # a marker on a line of its own says nothing more
+        lines.append((line, None if alone else rest, role))
     return matrices, lines
 
 
@@ -112,15 +118,19 @@ def border(role: int, settings: ChatSettings) -> np.ndarray:
     return np.log(settings.start) if role < 0 else np.where(np.arange(len(ROLES)) == role, 0.0, -np.inf)
 
 
-def rendered(roles: list[int], lines: list[str | None], previous: int, closes: bool) -> str:
-    """Canonical turns of a row's lines, each opened where the role changes."""
+def rendered(roles: list[int], lines: list[Line], previous: int, closes: bool) -> str:
+    """Canonical turns of a row's lines, each opened where the role changes.
+
+    A marker goes where it opens a turn of its role; elsewhere it is part of the words.
+    """
     out = []
-    for role, line in zip(roles, lines):
+    for role, (line, rest, marker) in zip(roles, lines):
+        said = rest if role != previous and marker == role else line
         if role != previous:
             out.append("<|end|>\n" if previous >= 0 else "")
             out.append(f"<|{ROLES[role]}|>\n")
-        if line is not None:
-            out.append(line + "\n")
+        if said is not None:
+            out.append(said + "\n")
         previous = role
     return "".join(out) + ("<|end|>\n" if closes else "")
 

@@ -53,6 +53,13 @@ def test_canonical_turns(spark):
     assert said[2] == "<|user|>\nwhy?\n<|end|>\n"
 
 
+def test_marker_words_inside_a_turn_stay(spark):
+    inner = ["# Context", "- answer", "| model | size |", "Response: 200", "plain"]
+    df = rows_of(spark, [(1, 0, None, "User: how does it look?"), (1, 1, None, "AI: like this\n" + "\n".join(inner))])
+    said = "".join(r.rendered for r in sorted(format_chats(df, ChatSettings(mismarked=0.5)).collect(), key=lambda r: r.turn))
+    assert said == "<|user|>\nhow does it look?\n<|end|>\n<|assistant|>\nlike this\n" + "\n".join(inner) + "\n<|end|>\n"
+
+
 def test_awkward_rows(spark):
     df = rows_of(spark, [(1, 0, "user", None), (1, 0, "user", None), (None, 1, None, "User: a"), (None, None, None, ""), (3, 2**60 + 1, "x", LONG), (3, None, "x", "\n\n")])
     rows = format_chats(df, ChatSettings()).collect()
