@@ -26,7 +26,7 @@ ACCESS = r"AKIA[A-Z0-9]{12,}"
 HEX = r"[0-9a-f]{32,}"
 
 IDENTIFIER = r"""(?i:user_?name|user_?id|user|login|account|client_?id|access_?key_?id|access_?key|host_?name|host)["']?\x20*[:=]\x20*["']?[A-Za-z0-9._@+-]{3,}"""
-VALUE = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_-]{0,64}[0-9])(?=[0-9a-z+/_-]{0,64}[A-Z])(?=[0-9A-Z+/_-]{0,64}[a-z])[A-Za-z0-9+/_-]{20,}={0,2}"
+VALUE = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_-]*[0-9])(?=[0-9a-z+/_-]*[A-Z])(?=[0-9A-Z+/_-]*[a-z])[A-Za-z0-9+/_-]{20,}={0,2}"
 ENDPOINT = r"""[A-Za-z][A-Za-z0-9+.-]{1,15}://[^\x20\x09-\x0D"'<>]+"""
 
 

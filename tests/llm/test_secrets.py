@@ -49,6 +49,13 @@ def test_weak_parts_need_a_neighbour(spark):
     assert linked[7] == {"endpoint"} and not linked[8] and linked[9] == {"identifier"}
 
 
+def test_values_after_a_long_start_are_found(spark):
+    text = "user=alice /" + "home/production/" * 6 + "aB3dE6gH9"
+    df = spark.createDataFrame([(1, text)], "doc_id int, text string")
+    assert (11, 4, len(text)) in {(s.start, s.kind, s.end) for s in find_secrets(df, SETTINGS).first().linked}
+    assert "aB3dE6gH9" not in redact(df, SETTINGS).first().text
+
+
 def test_links_equal_a_search_of_all_pairs(spark):
     import random
 
