@@ -33,9 +33,13 @@ STANDS_FOR = {
 }
 SEPARATORS = " .-_*~'·•"
 EDGES = "\"'`.,;:!?()[]{}<>*%&#$~|/\\-_=+«»„“”‘’…"
+PLAIN_EDGES = "".join(c for c in EDGES if c not in STANDS_FOR)
+
+#: How often a mark at the edge of a word, or a digit of a number, is no letter.
+NO_LETTER = {"$": 0.02, "@": 0.02, "€": 0.02, "£": 0.02, "|": 0.1, "+": 0.1} | dict.fromkeys("0123456789", 0.5)
 
 #: Three or more single characters with the same separators between them.
-SPACED = re.compile(r"(?<![\w@$])(?:[\w@$!|]([ .*_~·•-])(?:\1)?){3,}[\w@$!|](?![\w@$])")
+SPACED = re.compile(r"(?<![\w@$])(?:[\w@$!|]([ .*_~·•-])(?:\1)?){2,}[\w@$!|](?![\w@$])")
 REPEATED = re.compile(r"([^\W\d_])\1\1")
 LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -46,8 +50,6 @@ CLASSES = 128
 class ToxicitySettings:
     #: Readings of a token that are followed at a time.
     beam: int = 48
-    #: Longer tokens are not words; they are read as they stand.
-    longest: int = 64
     #: Labelled documents used to fit, at most: those with the smallest hashes.
     sample: int = 20_000
     #: Hash buckets of features, and features that the regression keeps.
@@ -135,7 +137,13 @@ def readings(written: str, i: int) -> list[tuple[str, float]]:
 
 def restore(written: str, model: np.ndarray, beam: int) -> str:
     """The best reading of ``written`` (lower case); spaces stand between words."""
-    paths = {(0, 0): (0.0, "")}
+    return best_reading(written, model, beam)[0]
+
+
+def best_reading(written: str, model: np.ndarray, beam: int) -> tuple[str, float]:
+    """The best reading and its log probability, in time linear in the length: paths are
+    chains of letters with their beginnings in common."""
+    paths: dict = {(0, 0): (0.0, None)}
     for i in range(len(written)):
         longer: dict = {}
         options = [(x, class_of(x) if x.strip() else 0, p) for x, p in readings(written, i)]
@@ -144,13 +152,19 @@ def restore(written: str, model: np.ndarray, beam: int) -> str:
                 if not x:
                     state, total, text = (a, b), score + p, out
                 else:
-                    state, total, text = (b, c), score + p + float(model[a, b, c]), out + x
+                    state, total, text = (b, c), score + p + float(model[a, b, c]), (out, x)
                 if state not in longer or longer[state][0] < total:
                     longer[state] = (total, text)
         if len(longer) > beam:
             longer = dict(sorted(longer.items(), key=lambda kv: -kv[1][0])[:beam])
         paths = longer
-    return max(paths.items(), key=lambda kv: kv[1][0] + float(model[kv[0][0], kv[0][1], 0]))[1][1]
+    closed = lambda kv: kv[1][0] + float(model[kv[0][0], kv[0][1], 0])
+    best = max(paths.items(), key=closed)
+    letters, chain = [], best[1][1]
+    while chain:
+        chain, x = chain
+        letters.append(x)
+    return "".join(reversed(letters)), closed(best)
 
 
 class Restored(dict):
@@ -161,27 +175,43 @@ class Restored(dict):
         self.model, self.settings = model, settings
 
     def __missing__(self, token: str) -> str:
-        body = token.lower().rstrip(EDGES)
-        core = body.lstrip(EDGES)
-        if len(body) - len(core) == 1 and body[0] in "$|(":  # one such mark may be the first letter
-            core = body
-        odd = REPEATED.search(core) or any(c in STANDS_FOR or c in SEPARATORS for c in core)
-        if odd and len(core) <= self.settings.longest and any(c.isalpha() for c in core):
-            words = restore(core, self.model, self.settings.beam)
-        else:
-            words = " ".join(LETTERS.findall(core))
+        wide = token.lower().strip(PLAIN_EDGES)
+        core = wide.strip(EDGES)
+        words, score = self.reading(core)
+        if wide != core and not wide.isdigit():
+            marks = wide.replace(core, "", 1) if core else wide
+            more, other = best_reading(wide, self.model, self.settings.beam)
+            if other > score + sum(log(NO_LETTER.get(c, 0.3)) for c in marks):
+                words = more
         if len(self) >= self.settings.remembered:
             self.clear()
         self[token] = words
         return words
 
+    def reading(self, core: str) -> tuple[str, float]:
+        """The words of a token without its edge marks, and their log probability."""
+        if not core:
+            return "", 0.0
+        if not any(c.isalpha() for c in core):
+            number = sum(log(NO_LETTER.get(c, 0.3)) for c in core)
+            if any(c in STANDS_FOR and not c.isdigit() for c in core):
+                words, score = best_reading(core, self.model, self.settings.beam)
+                if score > number:
+                    return words, score
+            return "", number
+        if REPEATED.search(core) or any(c in STANDS_FOR or c in SEPARATORS for c in core):
+            return best_reading(core, self.model, self.settings.beam)
+        letters = " ".join(LETTERS.findall(core))
+        codes = [0, 0, *(class_of(c) if c.isalpha() else 0 for c in letters), 0]
+        return letters, sum(float(self.model[x]) for x in zip(codes, codes[1:], codes[2:])) + len(letters) * log(0.95)
+
     def tokens(self, text: str) -> list[str]:
         """The tokens of a text; letters with separators between them become one."""
         return SPACED.sub(self.joined, text).split()
 
     def joined(self, match: re.Match) -> str:
         run = match.group()
-        if not any(c.isalpha() for c in run) or len(run) > 2 * self.settings.longest:
+        if not any(c.isalpha() for c in run):
             return run
         return restore(run.lower(), self.model, self.settings.beam)
 

@@ -73,6 +73,17 @@ def test_words_are_restored(spark):
     assert scored.columns == ["key", "text", "plain", "score"]
 
 
+def test_words_of_any_length_and_edge_are_restored(spark):
+    docs = texts(spark.read.parquet(f"{LARGER}/documents.parquet"))
+    restored = Restored(log_model(trigram_counts(docs)), ToxicitySettings())
+    for written, meant in (("a s s", "ass"), ("wow!!!", "wow"), ("(see", "see"), ("trash!", "trash"), ("$100", "")):
+        assert restored.text(written) == meant
+    for written in ("pi$$", "a$$", "@$$"):  # whether s is doubled is the model's choice
+        assert restored.text(written).rstrip("s") + "s" == ("pis" if "i" in written else "as")
+    assert "idiot" in restored.text("_".join(["1d10t"] * 20))
+    assert "idiot" in restored.text(" ".join("idiot" * 40))  # a spaced run of 399 characters
+
+
 def test_network_learns_and_is_calibrated():
     rng = np.random.default_rng(0)
     x = rng.normal(size=(3000, 4))
