@@ -2,6 +2,7 @@
 
 from kotomori.llm import (  # noqa: F401  (each module registers its queries)
     chat,
+    codes,
     fingerprints,
     mixing,
     packing,
