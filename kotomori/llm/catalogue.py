@@ -4,6 +4,7 @@ from kotomori.llm import (  # noqa: F401  (each module registers its queries)
     chat,
     codes,
     fingerprints,
+    middle,
     mixing,
     packing,
     quality,

@@ -35,8 +35,8 @@ class CodeSettings:
     entries: int = 64
     rounds: int = 2
     #: Vectors in a chunk, and points in a block.
-    chunk: int = 1 << 14
-    block: int = 64
+    chunk: int = 1 << 16
+    block: int = 128
     #: Components are held to this many either way, so that differences fit in 64 bits.
     reach: int = 1 << 31
     #: Copies of the sums of labels, for the join with rows of which many have one label.
@@ -114,6 +114,12 @@ class Chunk:
         box = lambda name: np.frombuffer(row[name], "<i8").reshape(p, -1, width)
         self.low, self.high, self.sums = box("low"), box("high"), box("sums")
 
+    def short_listed(self, p: int, entries: np.ndarray) -> Iterator[tuple[slice, np.ndarray]]:
+        """The points of each block of position ``p`` and the entries that may be nearest."""
+        possible = short_lists(self.low[p], self.high[p], entries)
+        for start, row in zip(range(0, self.n, self.block), possible):
+            yield slice(start, min(start + self.block, self.n)), np.flatnonzero(row)
+
 
 def short_lists(low: np.ndarray, high: np.ndarray, entries: np.ndarray) -> np.ndarray:
     """``(blocks, entries)``: may the entry be nearest to a point of the block?"""
@@ -125,21 +131,26 @@ def short_lists(low: np.ndarray, high: np.ndarray, entries: np.ndarray) -> np.nd
     return (near * near).sum(axis=2) <= (far * far).sum(axis=2).min(axis=1, keepdims=True)
 
 
-def nearest(points: np.ndarray, entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The nearest entry of each point, of equal ones the first, and the distance."""
-    apart = points.astype(np.int64)[:, None, :] - entries[None]
-    if float(np.abs(apart).max(initial=0)) ** 2 * points.shape[1] >= 2.0**63:
-        apart = apart.astype(object)
-    distance = np.einsum("nkw,nkw->nk", apart, apart) if apart.dtype != object else (apart * apart).sum(axis=2)
-    best = distance.argmin(axis=1) if distance.dtype != object else np.array([row.index(min(row)) for row in distance.tolist()], dtype=np.int64)
-    return best, distance[np.arange(len(points)), best]
+class Kernel:
+    """Exact distances of points to the entries of one position's codebook.
+
+    Products of doubles are exact while nothing reaches 2^53; beyond that they are made
+    with 64-bit or, at last, Python's integers.
+    """
 
+    def __init__(self, points: np.ndarray, entries: np.ndarray):
+        most = max(float(np.abs(a.astype(np.float64)).max(initial=0)) for a in (points, entries))
+        reach = 4 * most * most * max(1, entries.shape[1])
+        kind = np.float64 if reach < 2.0**53 else np.int64 if reach < 2.0**63 else object
+        self.points, self.entries = points.astype(np.int64).astype(kind), entries.astype(kind)
+        self.norms = (self.entries * self.entries).sum(axis=1)
 
-def assigned(chunk: Chunk, p: int, entries: np.ndarray) -> Iterator[tuple[int, slice, np.ndarray]]:
-    """``(block, its points, short list)`` of position ``p``, a block at a time."""
-    possible = short_lists(chunk.low[p], chunk.high[p], entries)
-    for b, start in enumerate(range(0, chunk.n, chunk.block)):
-        yield b, slice(start, min(start + chunk.block, chunk.n)), np.flatnonzero(possible[b])
+    def nearest(self, at: slice, few: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The nearest of a few entries for each point, of equal ones the first, and the distance."""
+        points = self.points[at]
+        score = self.norms[few] - 2 * (points @ self.entries[few].T)
+        best = score.argmin(axis=1)
+        return few[best], score[np.arange(len(points)), best] + (points * points).sum(axis=1)
 
 
 def sums_of(chunk: Chunk, books: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -147,28 +158,32 @@ def sums_of(chunk: Chunk, books: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     counts = np.zeros(books.shape[:2], dtype=np.int64)
     sums = np.zeros(books.shape, dtype=np.int64)
     for p, entries in enumerate(books):
-        for b, at, few in assigned(chunk, p, entries):
-            if len(few) == 1:
+        kernel, best = Kernel(chunk.points[p], entries), np.full(chunk.n, -1)
+        for b, (at, few) in enumerate(chunk.short_listed(p, entries)):
+            if len(few) == 1:  # all points of the block: its sums are known
                 counts[p, few[0]] += at.stop - at.start
                 sums[p, few[0]] += chunk.sums[p, b]
             else:
-                points = chunk.points[p, at]
-                best = few[nearest(points, entries[few])[0]]
-                counts[p] += np.bincount(best, minlength=len(entries))
-                np.add.at(sums[p], best, points.astype(np.int64))
+                best[at] = kernel.nearest(at, few)[0]
+        open_ = best >= 0
+        points, best = chunk.points[p][open_], best[open_]
+        counts[p] += np.bincount(best, minlength=len(entries))
+        for w in range(chunk.width):  # below 2^53: a chunk's sum of numbers below 2^32
+            sums[p, :, w] += np.bincount(best, points[:, w].astype(np.float64), len(entries)).astype(np.int64)
     return counts, sums
 
 
 def codes_of(chunk: Chunk, books: np.ndarray) -> tuple[np.ndarray, list[int]]:
     """Codes ``(n, parts)`` and whole errors of a chunk's vectors, in their own order."""
     codes = np.empty((chunk.n, len(books)), dtype=np.uint8)
-    errors = np.zeros(chunk.n, dtype=object if float(np.abs(chunk.low).max(initial=0)) > 1 << 27 or float(np.abs(chunk.high).max(initial=0)) > 1 << 27 else np.int64)
+    far = max(float(np.abs(a).max(initial=0)) for a in (chunk.low, chunk.high, books))
+    errors = np.zeros(chunk.n, dtype=np.int64 if 4 * far * far * chunk.width * len(books) < 2.0**63 else object)
     for p, entries in enumerate(books):
-        for _, at, few in assigned(chunk, p, entries):
-            best, distance = nearest(chunk.points[p, at], entries[few])
-            places = chunk.places[p, at]
-            codes[places, p] = few[best]
-            errors[places] += distance
+        kernel, best, distance = Kernel(chunk.points[p], entries), np.empty(chunk.n, np.uint8), np.empty(chunk.n, errors.dtype)
+        for at, few in chunk.short_listed(p, entries):
+            best[at], distance[at] = kernel.nearest(at, few)
+        codes[chunk.places[p], p] = best
+        errors[chunk.places[p]] += distance
     most = (1 << 63) - 1
     return codes, [min(int(e), most) for e in errors.tolist()]
 
