@@ -1,6 +1,7 @@
 """The queries of this subpackage and their SQL equivalents."""
 
 from kotomori.llm import (  # noqa: F401  (each module registers its queries)
+    bestfit,
     chat,
     codes,
     fingerprints,

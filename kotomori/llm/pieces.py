@@ -140,3 +140,32 @@ class WordIds(dict):
         self.learn(new)
         get = self.__getitem__
         return [self.encoded(t) if w is None else b"".join(map(get, w)) for w, t in zip(split, texts)]
+
+
+class ByteIds(dict):
+    """Pre-token of the byte-level tokenizer -> its ids as little-endian 32-bit bytes.
+
+    ``limit`` bounds the number of pre-tokens kept; the table starts afresh beyond it.
+    """
+
+    def __init__(self, path: str, limit: int = 300_000, special: str = "<|endoftext|>"):
+        super().__init__()
+        self.limit, self.special = limit, special
+        self.merges, self.split = merges_only(path, at_spaces=False), byte_pieces(path, special)
+        self.special_id = load_tokenizer(path).token_to_id(special).to_bytes(4, "little")
+
+    def learn(self, pieces: list[str]) -> None:
+        for piece, found in zip(pieces, self.merges.encode_batch_fast(pieces, add_special_tokens=False)):
+            self[piece] = np.array(found.ids, dtype="<u4").tobytes()
+
+    def of(self, texts: list[str]) -> list[bytes]:
+        """The ids of whole texts."""
+        parts = [[self.split(p)[0] for p in (t.split(self.special) if self.special in t else (t,))] for t in texts]
+        needed = set().union(*(p for ps in parts for p in ps))
+        new = [p for p in needed if p not in self]
+        if len(self) + len(new) > self.limit:
+            self.clear()
+            new = list(needed)
+        self.learn(new)
+        get = self.__getitem__
+        return [self.special_id.join([b"".join(map(get, p)) for p in ps]) for ps in parts]
