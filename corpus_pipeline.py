@@ -3,7 +3,8 @@
 Each stage works on all that the one before it kept. What a stage decides for a row
 (drop it, change its text, repeat it) is applied to the row itself, so stages number the
 rows they were given in a written table and join their decisions by that number: ids may
-be missing or repeated.
+be missing or repeated. Every stage but the last returns the columns of documents and no
+others; an empty table gives none of its rows. A null text counts as empty and stays null.
 """
 
 from __future__ import annotations
@@ -14,11 +15,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kotomori.llm.common import table, tokenizer_path
-from kotomori.llm.copies import CopySettings, first_of_copies
 from kotomori.llm.mixing import MixSettings, longer_first, mix
 from kotomori.llm.packing import PackSettings, pack
 from kotomori.llm.quality import QualitySettings, with_quality
 from kotomori.llm.secrets import SecretSettings, redact
+from kotomori.llm.simhash import SimHashSettings, near_duplicates
 from kotomori.session import pin
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -38,10 +39,11 @@ def numbered(docs: DataFrame) -> DataFrame:
 
 
 def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the first row of each group of near duplicates: five-word shingles of likeness
-    0.8 or more, not the rule of the SimHash query."""
+    """Keep the first row of each group of near duplicates, by the shingles and the bit
+    distance of the SimHash operator."""
     rows = numbered(docs)
-    return rows.join(first_of_copies(rows, CopySettings()), "row", "left_semi").select(*COLUMNS)
+    groups = near_duplicates(rows, SimHashSettings(), key="row")
+    return rows.join(groups.where(F.col("row") == F.col("component_id")).select("row"), "row", "left_semi").select(*COLUMNS)
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
