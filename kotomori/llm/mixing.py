@@ -116,7 +116,7 @@ def mix(docs: DataFrame, settings: MixSettings, key: str = "doc_id", text: str =
     order = Window.partitionBy("source", "part").orderBy("ratio", "row").rowsBetween(Window.unboundedPreceding, 0)
     last = placed.where(F.col("part") == F.col("last_part")).withColumn("upto", F.col("before") + F.sum("size").over(order))
     inside = last.where(F.col("upto") <= F.col("wanted")).select("row", F.lit(True).alias("inside"))
-    extra = (F.col("part") < F.col("last_part")) | F.coalesce("inside", F.lit(False))
+    extra = (F.col("size") > 0) & ((F.col("part") < F.col("last_part")) | F.coalesce("inside", F.lit(False)))
     drawn = pin(placed.join(inside, "row", "left").withColumn("extra", extra).drop("part", "last_part", "before", "inside"), "mix-drawn")
 
     for _ in range(settings.closing):

@@ -80,3 +80,11 @@ def test_op6_and_rerun(spark, sf):
     rows = op6_mixing(spark, sf).collect()
     check(rows, docs, lambda s, n: 0.08 * sum(n))
     assert Counter(op6_mixing(spark, sf).collect()) == Counter(rows)
+
+
+def test_no_row_has_more_copies_than_allowed(spark):
+    """Empty rows of a source that gets all its whole copies have no other copy."""
+    rows = [(i, "" if i < 5 else "a b c", "capped") for i in range(8)] + [(10 + i, "x " * 400, "large") for i in range(9)] + [(30, None, "large")]
+    got = mix(spark.createDataFrame(rows, "doc_id long, text string, source string"), MixSettings()).collect()
+    assert all(r.copies <= MixSettings().most for r in got)
+    assert all(r.copies == (2 if r.source == "capped" else 1) for r in got if r.size == 0)
