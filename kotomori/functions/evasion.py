@@ -71,14 +71,18 @@ def with_evasion(
     text: str,
     weights: RiskWeights = RISK,
     lexicon: tuple[str, ...] = LEXICON,
+    where: Column | str | None = None,
 ) -> DataFrame:
     """Add ``normalized``, ``original_length``, the signals, ``script_info``,
     ``abuse_patterns_found`` and ``risk``.
 
     The chain is one struct, each step of which sees the one before by name. Its first
     step calls Java, which Spark takes for non-deterministic, so a filter on any of
-    these columns is neither pushed into the chain nor makes Spark repeat it.
+    these columns is neither pushed into the chain nor makes Spark repeat it. Nor does a
+    filter on other columns get past it: rows that a condition on the input leaves out go
+    by ``where``, ahead of the chain, from where it reaches the scan.
     """
+    df = df if where is None else df.where(where)
     wide = F.transform(F.array(nfkc(F.col(text))), lambda w: F.struct(w.alias("wide"), fold_homoglyphs(w).alias("folded")))
     joined = F.transform(wide, lambda x: F.struct(x["wide"].alias("wide"), x["folded"].alias("folded"), strip_inserted_symbols(x["folded"]).alias("joined")))
     chain = F.transform(joined, lambda x: F.struct(x["wide"].alias("wide"), x["folded"].alias("folded"), x["joined"].alias("joined"), collapse_elongation(x["joined"]).alias("normalized")))

@@ -7,12 +7,8 @@ the Unicode definitions the cleaning rules are based on.
 
 from __future__ import annotations
 
-import unicodedata
-
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from kotomori.config import CLEAN, CleanSettings
 
@@ -47,14 +43,9 @@ def _icu(c: Column, method: str) -> Column:
     return F.when(c.isNull() | is_ascii(c), c).otherwise(folded)
 
 
-@F.pandas_udf(StringType())
-def _nfkc_arrow(s: pd.Series) -> pd.Series:
-    return s.map(lambda t: unicodedata.normalize("NFKC", t), na_action="ignore")
-
-
-def nfkc(c: Column, method: str = "jvm") -> Column:
-    """Compatibility composition; ``method="arrow"`` where ICU is not at hand."""
-    return _nfkc_arrow(c) if method == "arrow" else _icu(c, "compose")
+def nfkc(c: Column) -> Column:
+    """Compatibility composition."""
+    return _icu(c, "compose")
 
 
 def nfkd(c: Column) -> Column:

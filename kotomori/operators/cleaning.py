@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kotomori.config import CLEAN, RISK, CleanSettings, RiskWeights
@@ -14,9 +14,11 @@ def with_processed_text(df: DataFrame, text: str = "text", settings: CleanSettin
     return df.withColumn("processed_text", clean_text(F.col(text), settings))
 
 
-def clean_corpus(df: DataFrame, text: str = "text", settings: CleanSettings = CLEAN) -> DataFrame:
-    """Add ``processed_text`` and drop the rows that have nothing left."""
-    return with_processed_text(df, text, settings).where(F.col("processed_text") != "")
+def clean_corpus(df: DataFrame, text: str = "text", settings: CleanSettings = CLEAN, where: Column | str | None = None) -> DataFrame:
+    """Add ``processed_text`` and drop the rows that have nothing left; ``where`` filters the
+    input (see :func:`~kotomori.functions.evasion.with_evasion`)."""
+    rows = df if where is None else df.where(where)
+    return with_processed_text(rows, text, settings).where(F.col("processed_text") != "")
 
 
 def drop_report(df: DataFrame, text: str = "text", settings: CleanSettings = CLEAN) -> DataFrame:
@@ -29,13 +31,20 @@ def drop_report(df: DataFrame, text: str = "text", settings: CleanSettings = CLE
     )
 
 
-def prepare(df: DataFrame, text: str = "text", settings: CleanSettings = CLEAN, weights: RiskWeights = RISK) -> DataFrame:
+def prepare(
+    df: DataFrame,
+    text: str = "text",
+    settings: CleanSettings = CLEAN,
+    weights: RiskWeights = RISK,
+    where: Column | str | None = None,
+) -> DataFrame:
     """Clean, then analyse evasion; ``processed_text`` ends up normalised.
 
     ``order="clean_first"`` looks for tricks in the cleaned tokens, which hides
     most of them from a character tokenizer; ``"raw_first"`` looks at the raw
-    text and cleans what it has undone.
+    text and cleans what it has undone. ``where`` filters the input.
     """
+    df = df if where is None else df.where(where)
     if settings.order == "clean_first":
         analysed = with_evasion(clean_corpus(df, text, settings), "processed_text", weights)
         return analysed.drop("processed_text").withColumnRenamed("normalized", "processed_text")

@@ -14,7 +14,7 @@ from dataclasses import asdict
 import numpy as np
 import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import IDF, CountVectorizer, HashingTF, NGram, SQLTransformer, Tokenizer
+from pyspark.ml.feature import IDF, CountVectorizerModel, HashingTF, NGram, SQLTransformer, Tokenizer
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -159,13 +159,10 @@ class TfidfModel:
             table = local[local.block == block].set_index("term")
             if table.empty:
                 continue
-            # Counting is left to Spark's own vectoriser. Fitting it on the
-            # vocabulary keeps the terms inside the JVM; it orders them its own
-            # way, so our ids and weights are looked up in that order.
-            counter = CountVectorizer(inputCol="_terms", outputCol=f"_{block}", vocabSize=len(table)).fit(
-                vocab.where(F.col("block") == block).select(F.array("term").alias("_terms"))
-            )
-            table = table.loc[counter.vocabulary]
+            # Counting is left to Spark's own vectoriser, with the terms in the order of
+            # their ids: its indices then lie in that order, too.
+            table = table.sort_values("term_id")
+            counter = CountVectorizerModel.from_vocabulary(table.index.tolist(), inputCol="_terms", outputCol=f"_{block}")
             self._blocks.append((block, counter, table.term_id.to_numpy(np.int32), table.idf.to_numpy()))
 
     @classmethod
@@ -216,7 +213,7 @@ class TfidfModel:
                 ids.append(term_ids[at])
                 weights.append(w / np.where(norms > 0, norms, 1.0)[row])
             row, all_ids, all_weights = (np.concatenate(x) for x in (rows, ids, weights))
-            order = np.lexsort((all_ids, row))
+            order = np.argsort(row, kind="stable")  # the ids of a row ascend already, block after block
             cuts = np.cumsum(np.bincount(row, minlength=n_rows))[:-1]
             cells = {name: pd.Series(np.split(x[order], cuts), dtype=object) for name, x in (("indices", all_ids), ("values", all_weights))}
             return pd.DataFrame({"type": np.zeros(n_rows, np.int8), "size": size, **cells})

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kotomori.config import DEFAULT_TIER, ESCALATION, LABELS, RISK, TIER_ACTIONS, EscalationRules
+from kotomori.session import pin
 
 QUEUE_ORDER = tuple(tier for tier, _, _ in TIER_ACTIONS)
 
@@ -129,9 +130,13 @@ def review_queue(
     """Escalated rows, most urgent first, in the order of the policy or the built-in one.
 
     The filter precedes the sort, the sort is a range shuffle, and ``top`` turns it into a
-    bounded per-task heap. A tier that the policy does not name comes last.
+    bounded per-task heap. A tier that the policy does not name comes last. A whole queue
+    is written before it is sorted: the sort samples its input first, and the texts would
+    be analysed once for the sample and once for the sort.
     """
     urgent = records.where("escalate_to_human")
+    if top is None:
+        urgent = pin(urgent, "urgent")
     if policy is None:
         ranked = urgent.withColumn("queue_rank", tier_priority(F.col(tier)))
     else:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from kotomori.config import LABELS, LEXICON, LOOKALIKE_FROM, LOOKALIKE_TO, RISK
 from kotomori.functions.evasion import with_evasion
 from kotomori.functions.text import SPACES
+from kotomori.session import spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -36,7 +37,7 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 def documents(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
     df = table(spark, sf, "documents")
-    return df.select(*columns) if columns else df
+    return spread(df.select(*columns) if columns else df)
 
 
 # ---- evaded documents ------------------------------------------------------
@@ -62,11 +63,11 @@ def evade(text: Column, key: Column) -> Column:
     )
 
 
-def evaded(spark: SparkSession, sf: str) -> DataFrame:
-    """``(doc_id, lang, n_chars, raw)``."""
-    return documents(spark, sf, "doc_id", "lang", "n_chars", "text").select(
-        "doc_id", "lang", "n_chars", evade(F.col("text"), F.col("doc_id")).alias("raw")
-    )
+def evaded(spark: SparkSession, sf: str, docs: DataFrame | None = None) -> DataFrame:
+    """``(doc_id, lang, n_chars, raw)`` and, of given ``docs``, their other columns."""
+    docs = documents(spark, sf, "doc_id", "lang", "n_chars", "text") if docs is None else docs
+    others = [c for c in docs.columns if c not in ("doc_id", "lang", "n_chars", "text", "source")]
+    return docs.select("doc_id", "lang", "n_chars", evade(F.col("text"), F.col("doc_id")).alias("raw"), *others)
 
 
 def analysed(spark: SparkSession, sf: str) -> DataFrame:
@@ -173,8 +174,7 @@ def labelled(spark: SparkSession, sf: str) -> DataFrame:
     """``(id, text, label)`` of the labelled documents."""
     names = F.array(*[F.lit(x) for x in LABELS])
     return (
-        documents(spark, sf, "doc_id", "text")
-        .join(labels(spark, sf), "doc_id")
+        spread(table(spark, sf, "documents").select("doc_id", "text").join(labels(spark, sf), "doc_id"))
         .select(F.col("doc_id").alias("id"), "text", F.get(names, F.col("label_id")).alias("label"))
     )
 
@@ -185,10 +185,10 @@ def hash_share(key: str, start: int) -> Column:
     return F.conv(digits, 16, 10).cast("int") % 1001 / F.lit(1000.0)
 
 
-def scored(spark: SparkSession, sf: str) -> DataFrame:
+def scored(spark: SparkSession, sf: str, docs: DataFrame | None = None) -> DataFrame:
     """All evaded documents with a rule for the prediction, so that everything after a
     model can be checked exactly."""
-    with_risk = with_evasion(evaded(spark, sf), "raw")
+    with_risk = with_evasion(evaded(spark, sf, docs), "raw")
     y_pred = F.when(F.col("risk") > 0.4, 0).when(F.col("n_chars") < 500, 2).otherwise(1)
     return (
         with_risk.withColumn("y_pred", y_pred)
@@ -198,8 +198,10 @@ def scored(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def judged(spark: SparkSession, sf: str) -> DataFrame:
-    """The scored documents that have a true class, for the metrics."""
-    return scored(spark, sf).join(labels(spark, sf).withColumnRenamed("label_id", "y_true"), "doc_id")
+    """The scored documents that have a true class, for the metrics; the others never
+    reach the text chain."""
+    true = labels(spark, sf).withColumnRenamed("label_id", "y_true")
+    return scored(spark, sf, spread(table(spark, sf, "documents").join(true, "doc_id")))
 
 
 def sql_share(start: int, key: str = "doc_id") -> str:

@@ -114,7 +114,8 @@ def queue_columns(df):
 
 @register("review_queue", f"WITH {QUEUE}")
 def review_queue(spark, sf):
-    return queue_columns(G.review_queue(records(spark, sf), "doc_id"))
+    urgent = records(spark, sf).select("doc_id", "severity_tier", "risk", "escalate_to_human")
+    return queue_columns(G.review_queue(urgent, "doc_id"))
 
 
 @register("review_queue_top", f"WITH {QUEUE} LIMIT 50")

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kotomori.config import CLEAN, CleanSettings
@@ -15,9 +15,10 @@ from kotomori.operators.features import TfidfModel
 from kotomori.operators.triage import confidence, escalate_simple, tier_simple
 
 
-def score_rows(df: DataFrame, model: PipelineModel, features: TfidfModel, text: str = "text", clean: CleanSettings = CLEAN) -> DataFrame:
-    """Everything known about a row: signals, risk, class, confidence, tier."""
-    prepared = prepare(df, text, clean)
+def score_rows(df: DataFrame, model: PipelineModel, features: TfidfModel, text: str = "text", clean: CleanSettings = CLEAN, where: Column | str | None = None) -> DataFrame:
+    """Everything known about a row: signals, risk, class, confidence, tier. ``where`` filters
+    the input, ahead of all text functions."""
+    prepared = prepare(df, text, clean, where=where)
     scored = predict(model, features.transform(prepared)).drop("features")
     return (
         scored.withColumn("confidence", confidence(F.col("probabilities"), F.col("y_pred")))
@@ -53,5 +54,5 @@ def documented_records(scored: DataFrame, text: str = "text") -> DataFrame:
     )
 
 
-def score_corpus(df: DataFrame, key: str, model: PipelineModel, features: TfidfModel, text: str = "text", clean: CleanSettings = CLEAN) -> DataFrame:
-    return prediction_records(score_rows(df, model, features, text, clean), key, text)
+def score_corpus(df: DataFrame, key: str, model: PipelineModel, features: TfidfModel, text: str = "text", clean: CleanSettings = CLEAN, where: Column | str | None = None) -> DataFrame:
+    return prediction_records(score_rows(df, model, features, text, clean, where), key, text)

@@ -8,6 +8,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Session setting: partitions that scanned rows are dealt over; off unless set.
+SPREAD = "kotomori.scan.partitions"
+
+
 def local_session(cores: int = 8, memory: str = "8g", app: str = "kotomori") -> SparkSession:
     """A session for tests and benchmarks; clusters bring their own."""
     return (
@@ -19,10 +23,22 @@ def local_session(cores: int = 8, memory: str = "8g", app: str = "kotomori") ->
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.sql.adaptive.enabled", "true")
+        .config(SPREAD, str(cores))
         .getOrCreate()
     )
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` dealt evenly over the number of partitions that ``SPREAD`` names, if it is set.
+
+    For inputs of few files that Spark cannot split (a Parquet file of one row group, a
+    multi-line CSV) and costly work behind the scan. It is a setting and no guess: sizes
+    and cores play no part, and without it nothing is shuffled.
+    """
+    wanted = df.sparkSession.conf.get(SPREAD, None)
+    return df if wanted is None else df.repartition(int(wanted))
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new path below the folder all executors share (``spark.checkpoint.dir``)."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()

@@ -3,14 +3,16 @@
 import re
 
 import pytest
-from pyspark.sql import functions as F
 
+from kotomori.config import CleanSettings
 from kotomori.functions.evasion import with_evasion
 from kotomori.operators import features as FE
+from kotomori.operators.cleaning import clean_corpus, prepare
 from kotomori.operators.splits import stratified_split
 from kotomori.operators.triage import with_policy_tier
 from kotomori.plans.catalogue import ORACLES, QUERIES
-from kotomori.plans.catalogue.base import documents, labels, scored, table
+from kotomori.plans.catalogue.base import judged, labels, scored, table
+from kotomori.session import SPREAD, spread
 from kotomori.sources.policy import builtin_tier_policy
 
 EAGER = {n for n in ORACLES if n.startswith(("sink_", "scan_", "save_", "stream_")) or n in ("fit_features", "transform_features")}
@@ -69,8 +71,37 @@ def test_split_keeps_the_large_side_in_place(spark, sf):
     assert "BroadcastHashJoin" in first and "hashpartitioning" not in first
 
 
-def test_filters_reach_the_scan(spark, sf):
-    df = documents(spark, sf, "doc_id", "text", "lang")
-    text = plan(table(spark, sf, "documents").where(F.col("lang") == "en").select("text"))
-    assert "EqualTo(lang,en)" in text
-    assert df.columns == ["doc_id", "text", "lang"]
+@pytest.mark.parametrize(
+    "flow",
+    [
+        lambda d, w: with_evasion(d, "text", where=w),
+        lambda d, w: clean_corpus(d, where=w),
+        lambda d, w: prepare(d, where=w),
+        lambda d, w: prepare(d, settings=CleanSettings(order="raw_first"), where=w),
+    ],
+)
+def test_filters_reach_the_scan(spark, sf, flow):
+    """A condition on the input is part of the scan, and of several columns only those in
+    use are read."""
+    rows = flow(table(spark, sf, "documents"), "lang = 'en'").drop("text")
+    text = plan(rows.select("doc_id", *[c for c in ("risk", "processed_text") if c in rows.columns]))
+    assert "EqualTo(lang,en)" in text and "reflect" in text
+    assert set(re.findall(r"ReadSchema: struct<(.*)>", text)) == {"doc_id:bigint,text:string,lang:string"}
+
+
+def test_nothing_is_dealt_out_unless_asked(spark, sf):
+    kept = spark.conf.get(SPREAD)
+    docs = table(spark, sf, "documents")
+    try:
+        assert "RoundRobinPartitioning(8)" in plan(spread(docs))
+        spark.conf.set(SPREAD, "3")
+        assert spread(docs).rdd.getNumPartitions() == 3
+        spark.conf.unset(SPREAD)
+        assert "Exchange" not in plan(spread(docs))
+    finally:
+        spark.conf.set(SPREAD, kept)
+
+
+def test_metrics_analyse_labelled_documents_only(spark, sf):
+    text = judged(spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert text.index("reflect(") < text.index("Join Inner")  # the join is below the chain

@@ -41,7 +41,6 @@ def test_golden(one, function, text, expected):
 def test_nfkc_is_the_standard_form(spark):
     want = [unicodedata.normalize("NFKC", s) for s in STRINGS]
     assert column_of(spark, X.nfkc, STRINGS) == want
-    assert column_of(spark, lambda c: X.nfkc(c, "arrow"), STRINGS) == want
 
 
 def test_whitespace_is_unicode_whitespace(spark):
