@@ -7,6 +7,7 @@ from kotomori.plans.catalogue import (  # noqa: F401  (each module registers its
     metrics,
     models,
     sources,
+    streams,
     text,
     triage,
 )

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 #: Session setting: partitions that scanned rows are dealt over; off unless set.
-SPREAD = "kotomori.scan.partitions"
+SPREAD = "spark.kotomori.scan.partitions"
 
 
 def local_session(cores: int = 8, memory: str = "8g", app: str = "kotomori") -> SparkSession:
