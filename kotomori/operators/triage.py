@@ -7,7 +7,7 @@ brings it in never multiplies rows, and picking a rule needs no shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kotomori.config import DEFAULT_TIER, ESCALATION, LABELS, RISK, TIER_ACTIONS, EscalationRules
@@ -217,3 +217,16 @@ def uncertain_rows(scored: DataFrame, key: str, probability: str = "probabilitie
     ranked = F.sort_array(F.col(probability), asc=False)
     margin = F.get(ranked, F.lit(0)) - F.get(ranked, F.lit(1))
     return scored.withColumn("margin", margin).orderBy("margin", key).limit(top)
+
+
+def uncertain_by_class(scored: DataFrame, key: str, probability: str = "probabilities", top: int = 100) -> DataFrame:
+    """The ``top`` rows of each predicted class with the smallest margin, and their ``rank``.
+
+    The rank is limited in the order of a window, which Spark applies in every task before
+    the shuffle: a task keeps and sends at most ``top`` rows a class, however many rows the
+    class has.
+    """
+    ranked = F.sort_array(F.col(probability), asc=False)
+    rows = scored.withColumn("margin", F.get(ranked, F.lit(0)) - F.get(ranked, F.lit(1)))
+    order = Window.partitionBy("predicted_class").orderBy("margin", key)
+    return rows.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)

@@ -6,7 +6,10 @@ from pyspark.sql import functions as F
 
 from kotomori.config import DEFAULT_TIER, LABELS, TAXONOMY, TIER_ACTIONS, TIER_RULES
 from kotomori.operators import triage as G
-from kotomori.plans.catalogue.base import SCORED, documents, hash_share, quoted, register, scored, sql_share
+from kotomori.operators.lexicon import phrase_index, with_indexed_taxonomy, with_phrases
+from kotomori.operators.rules import with_indexed_policy_tier
+from kotomori.plans.catalogue.base import SCORED, documents, hash_share, quoted, register, scored, sql_share, table
+from kotomori.session import pin
 from kotomori.sources.policy import builtin_taxonomy, builtin_tier_policy
 
 SQL_DEFAULT = (
@@ -176,3 +179,95 @@ def uncertain_rows(spark, sf):
     by_text = F.array(*[hash_share("text", i) for i in (1, 5, 9)])
     rows = G.uncertain_rows(documents(spark, sf, "doc_id", "text").withColumn("probabilities", by_text), "doc_id", top=100)
     return rows.select("doc_id", F.round("margin", 6).alias("margin"))
+
+
+@register(
+    "uncertain_by_class",
+    f"""WITH {SCORED}, p AS (SELECT doc_id, predicted_class, list_reverse_sort({SQL_PROBS}) AS p FROM scored),
+ranked AS (SELECT doc_id, predicted_class, p[1] - p[2] AS margin, row_number() OVER (PARTITION BY predicted_class ORDER BY p[1] - p[2], doc_id)::INT AS rank FROM p)
+SELECT doc_id, predicted_class, round(margin, 6) AS margin, rank FROM ranked WHERE rank <= 25""",
+)
+def uncertain_by_class(spark, sf):
+    rows = with_probabilities(scored(spark, sf)).select("doc_id", "predicted_class", "probabilities")
+    return G.uncertain_by_class(rows, "doc_id", top=25).select("doc_id", "predicted_class", F.round("margin", 6).alias("margin"), "rank")
+
+
+# a rule for each line item and class: bounds from its numbers, some of them missing
+RULE_ROWS = """SELECT l_orderkey % 97 AS priority, l_orderkey * 10 + l_linenumber AS rule_no,
+  CASE l_partkey % 4 WHEN 0 THEN 'CRITICAL' WHEN 1 THEN 'HIGH' WHEN 2 THEN 'MEDIUM' ELSE 'LOW' END AS tier,
+  CASE l_suppkey % 4 WHEN 0 THEN 'abusive_content' WHEN 1 THEN 'negative_sentiment' WHEN 2 THEN 'quality_risk' END AS predicted_class,
+  CASE WHEN l_partkey % 5 > 0 THEN CAST(l_partkey % 20 AS DOUBLE) / 20 + 0.05 END AS risk_min,
+  CASE WHEN l_suppkey % 7 > 0 THEN CAST(l_orderkey % 1000 AS DOUBLE) / 1000 END AS conf_min,
+  CASE WHEN l_orderkey % 3 > 0 THEN CAST(l_orderkey % 1000 AS DOUBLE) / 1000 + 0.001 * l_linenumber END AS conf_max
+FROM lineitem WHERE l_partkey % 5 > 0 OR l_orderkey % 3 > 0"""
+
+
+def many_rules(spark, sf):
+    table(spark, sf, "lineitem").createOrReplaceTempView("policy_lines")
+    return spark.sql(RULE_ROWS.replace("FROM lineitem", "FROM policy_lines"))
+
+
+@register(
+    "tier_policy_indexed",
+    f"""WITH {SCORED}, rules AS ({RULE_ROWS}),
+points AS (SELECT DISTINCT predicted_class, risk, confidence FROM scored),
+met AS (
+  SELECT p.predicted_class, p.risk, p.confidence, arg_min(r.tier, (r.priority, r.rule_no, r.tier)) AS tier
+  FROM points p JOIN rules r ON coalesce(r.predicted_class, p.predicted_class) = p.predicted_class
+    AND (risk_min IS NULL OR p.risk >= risk_min) AND (conf_min IS NULL OR p.confidence >= conf_min) AND (conf_max IS NULL OR p.confidence <= conf_max)
+  GROUP BY ALL)
+SELECT doc_id, predicted_class, confidence, coalesce(m.tier, {SQL_DEFAULT}) AS policy_tier
+FROM scored LEFT JOIN met m USING (predicted_class, risk, confidence)""",
+)
+def tier_policy_indexed(spark, sf):
+    """The tier policy with a rule for each line item, by dyadic cells."""
+    rows = scored(spark, sf).select("doc_id", "predicted_class", "risk", "confidence")
+    return with_indexed_policy_tier(rows, many_rules(spark, sf)).select("doc_id", "predicted_class", "confidence", "policy_tier")
+
+
+# every run of 12 characters that begins a word of a benchmark text, as a phrase
+PHRASE_ROWS = r"""SELECT DISTINCT item_id, substr(text, i, 12) AS phrase
+FROM (SELECT item_id, text, unnest(range(1, length(text) - 10)) AS i FROM benchmark) WHERE substr(text, i - 1, 1) = ' ' AND i > 1"""
+
+
+def many_phrases(spark, sf):
+    texts = table(spark, sf, "benchmark").select("item_id", "text").where(F.char_length("text") > 11)
+    at = texts.withColumn("i", F.explode(F.sequence(F.lit(2), F.char_length("text") - 11)))
+    at = at.where(F.substring("text", F.col("i") - 1, F.lit(1)) == " ")
+    return at.select("item_id", F.substring("text", F.col("i"), F.lit(12)).alias("phrase")).distinct()
+
+
+@register(
+    "lexicon_large",
+    f"""WITH phrases AS (SELECT DISTINCT phrase FROM ({PHRASE_ROWS}))
+SELECT doc_id, coalesce(string_agg(phrase, '|' ORDER BY phrase COLLATE "C"), '') AS phrases_found
+FROM documents LEFT JOIN phrases ON contains(text, phrase) GROUP BY doc_id, text""".replace(' COLLATE "C"', ""),
+)
+def lexicon_large(spark, sf):
+    """Passages of the benchmark that occur in documents, from an index of all of them."""
+    docs = documents(spark, sf, "doc_id", "text")
+    index = phrase_index(many_phrases(spark, sf), docs)
+    return with_phrases(docs, "text", index).select("doc_id", F.array_join("phrases_found", "|").alias("phrases_found"))
+
+
+TERM_CLASS = "CASE item_id % 4 WHEN 0 THEN 'abusive_content' WHEN 1 THEN 'negative_sentiment' WHEN 2 THEN 'quality_risk' END"
+
+
+@register(
+    "taxonomy_large",
+    f"""WITH {SCORED}, terms AS (SELECT {TERM_CLASS} AS class, item_id AS position, 's' || item_id AS subcategory, phrase FROM ({PHRASE_ROWS})),
+met AS (
+  SELECT doc_id, subcategory, row_number() OVER (PARTITION BY doc_id ORDER BY length(phrase) DESC, position, phrase DESC, subcategory DESC) AS r
+  FROM scored JOIN terms ON (class IS NULL OR class = predicted_class) AND contains(normalized, phrase))
+SELECT s.doc_id, predicted_class AS category, subcategory FROM scored s LEFT JOIN met m ON s.doc_id = m.doc_id AND r = 1""",
+)
+def taxonomy_large(spark, sf):
+    """Subcategories by phrases of the benchmark, from the index."""
+    phrases = many_phrases(spark, sf)
+    terms = phrases.select(
+        F.expr(TERM_CLASS).alias("class"), F.col("item_id").alias("position"),
+        F.concat(F.lit("s"), "item_id").alias("subcategory"), F.lit(False).alias("escalate"), "phrase",
+    )
+    rows = pin(scored(spark, sf).select("doc_id", "predicted_class", "normalized"), "normalized")
+    found = with_indexed_taxonomy(rows, terms, "normalized", phrase_index(terms, rows, "normalized"))
+    return found.select("doc_id", "category", "subcategory")
