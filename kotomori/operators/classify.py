@@ -168,32 +168,51 @@ class GridSearch:
         return self.f1_macro.index(max(self.f1_macro))
 
 
+def depth_binds(model: PipelineModel, max_depth: int) -> bool:
+    """Could the forest have come out otherwise with this limit? Not if all its trees ended
+    above it by themselves."""
+    return max(tree.depth for tree in model.stages[-1].trees) >= max_depth
+
+
 def grid_search(
     df: DataFrame,
     key: str,
     settings: ForestSettings = replace(FOREST, min_instances=1),
     grid: dict[str, Iterable] = TUNING_GRID,
     k: int = 3,
-    parallelism: int = 4,
+    parallelism: int = 8,
 ) -> GridSearch:
     """Forest grid on stratified folds, best macro F1 refitted on all rows.
 
     Class weights are those of the rows a forest is fitted on, so each fold has its own.
+    Candidates that differ in depth alone are fitted from the deepest down; one whose limit
+    no tree of a deeper forest reached is that forest, with the same seed, and takes its
+    result. All folds and candidates are fitted side by side.
     """
     candidates = [replace(settings, **dict(zip(grid, values))) for values in product(*grid.values())]
     folds = kfold(df, "label_id", key, k, settings.seed, eager=True)
-    totals = [0.0] * len(candidates)
+    alike: dict[ForestSettings, list[ForestSettings]] = {}
+    for c in candidates:
+        alike.setdefault(replace(c, max_depth=0), []).append(c)
+    trains = [training_frame(folds.where(F.col("fold") != fold).drop("fold"), key, settings.partitions).persist() for fold in range(k)]
+
+    def family(job: tuple[int, list[ForestSettings]]) -> dict[ForestSettings, float]:
+        fold, some = job
+        held_out, found, model = folds.where(F.col("fold") == fold), {}, None
+        f1 = 0.0
+        for c in sorted(some, key=lambda c: -c.max_depth):
+            if model is None or depth_binds(model, c.max_depth):
+                model = random_forest(c).fit(trains[fold])
+                f1 = fold_metrics(predict(model, held_out)).first()["f1_macro"]
+            found[c] = f1
+        return found
+
+    jobs = [(fold, some) for fold in range(k) for some in alike.values()]
     with ThreadPool(parallelism) as pool:
-        for fold in range(k):
-            train = training_frame(folds.where(F.col("fold") != fold).drop("fold"), key, settings.partitions).persist()
-            held_out = folds.where(F.col("fold") == fold)
-
-            def one(candidate: ForestSettings, train=train, held_out=held_out) -> float:
-                return fold_metrics(predict(random_forest(candidate).fit(train), held_out)).first()["f1_macro"]
-
-            for i, f1 in enumerate(pool.map(one, candidates)):
-                totals[i] += f1 / k
-            train.unpersist()
+        found = pool.map(family, jobs, chunksize=1)
+    for train in trains:
+        train.unpersist()
+    totals = [sum(f1[c] for f1 in found if c in f1) / k for c in candidates]
     best = candidates[totals.index(max(totals))]
     model = fit(random_forest(best), training_frame(df, key, settings.partitions))
     return GridSearch(candidates, totals, model)

@@ -69,10 +69,14 @@ def cross_validate(spark, sf):
     return C.cross_validate(_train(spark, sf), "id", lambda _: C.random_forest(), k=5)
 
 
+@lru_cache(maxsize=4)
+def searched(spark, sf):
+    return C.grid_search(_train(spark, sf), "id")
+
+
 @register("grid_search")
 def grid_search(spark, sf):
-    rows = _train(spark, sf)
-    return C.grid_results(C.grid_search(rows, "id"), rows)
+    return C.grid_results(searched(spark, sf), _train(spark, sf))
 
 
 @register("train_model")
@@ -196,11 +200,72 @@ def predict_checked(spark, sf):
     return _held_out_checked(trained(spark, sf).predictions)
 
 
-@register("logistic_checked", HELD_OUT)
+def gradient(model, rows, n_rows: int, at_zero: bool = False):
+    """Greatest component of the gradient of the penalised loss over ``rows``, at the
+    model's coefficients or at zero."""
+    lr = model.stages[-1]
+    coefficients = lr.coefficientMatrix.toArray() * (0.0 if at_zero else 1.0)
+    scored = C.predict(model, C.training_frame(rows, "id"))
+    p = F.array(*[F.lit(1 / len(LABELS))] * len(LABELS)) if at_zero else F.col("probabilities")
+    error = [F.col("class_weight") * (F.get(p, F.lit(k)) - F.when(F.col("label") == k, 1.0).otherwise(0.0)) for k in range(len(LABELS))]
+    cells = F.arrays_zip(F.unwrap_udt("features")["indices"].alias("j"), F.unwrap_udt("features")["values"].alias("x"))
+    each = scored.select(*[e.alias(f"e{k}") for k, e in enumerate(error)], F.inline(cells))
+    sums = each.groupBy("j").agg(*[(F.sum(F.col(f"e{k}") * F.col("x")) / n_rows).alias(f"g{k}") for k in range(len(LABELS))]).collect()  # a row a term
+    return max(abs(r[f"g{k}"] + lr.getRegParam() * coefficients[k, r.j]) for r in sums for k in range(len(LABELS)))
+
+
+@register("logistic_checked", f"WITH {RANKED} SELECT count(*) AS n_train, true AS gradient_vanishes FROM ranked WHERE r > round(0.2::DOUBLE * n)")
 def logistic_checked(spark, sf):
+    """Rows the regression was fitted on, and whether its loss is flat where it ended."""
     rows = _train(spark, sf)
-    model = C.fit(C.logistic_baseline(rows.count()), C.training_frame(rows, "id"))
-    return _held_out_checked(C.predict(model, _test(spark, sf)))
+    n = rows.count()
+    model = C.fit(C.logistic_baseline(n), C.training_frame(rows, "id"))
+    flat = gradient(model, rows, n) < 0.05 * gradient(model, rows, n, at_zero=True)
+    return rows.agg(F.count("*").alias("n_train")).withColumn("gradient_vanishes", F.lit(flat))
+
+
+def majority_f1(rows, label="label_id"):
+    """Macro F1 of the rule that always says the most frequent class."""
+    counts = [r.n for r in rows.groupBy(label).agg(F.count("*").alias("n")).collect()]
+    return 2 * max(counts) / (sum(counts) + max(counts)) / len(LABELS)
+
+
+@register("random_forest_checked", f"WITH {RANKED} SELECT count(*) AS n_test, true AS beats_majority FROM ranked WHERE r <= round(0.2::DOUBLE * n)")
+def random_forest_checked(spark, sf):
+    """Held-out rows, and whether the forest tells their classes better than a constant."""
+    test = _test(spark, sf)
+    scored = C.predict(C.fit(C.random_forest(), C.training_frame(_train(spark, sf), "id")), test)
+    counts = scored.agg(F.count("*").alias("n_test"))
+    better = C.fold_metrics(scored).first()["f1_macro"] > 1.5 * majority_f1(test)
+    return counts.withColumn("beats_majority", F.lit(better))
+
+
+@register(
+    "cross_validate_checked",
+    """SELECT f.fold, true AS f1_in_order, true AS beats_majority FROM range(5) f(fold)""",
+)
+def cross_validate_checked(spark, sf):
+    """A row a fold: whether its figures are possible and better than those of a constant."""
+    rows = _train(spark, sf)
+    constant = majority_f1(rows)
+    folds = C.cross_validate(rows, "id", lambda _: C.random_forest(), k=5)
+    possible = F.col("f1_macro").between(0, 1) & F.col("f1_weighted").between(0, 1) & F.col("accuracy").between(0, 1)
+    return folds.select(F.col("fold").cast("long").alias("fold"), possible.alias("f1_in_order"), (F.col("f1_macro") > 1.5 * constant).alias("beats_majority"))
+
+
+@register(
+    "grid_search_checked",
+    """SELECT t.x::INT AS trees, d.x::INT AS max_depth, m.x::INT AS min_instances, true AS beats_majority, true AS best_is_greatest
+FROM (VALUES (100), (200)) t(x), (VALUES (30), (20)) d(x), (VALUES (1), (2)) m(x)""",
+)
+def grid_search_checked(spark, sf):
+    """All candidates: whether each is better than a constant, and the first of the best is chosen."""
+    rows = _train(spark, sf)
+    found = searched(spark, sf)
+    constant, greatest = majority_f1(rows), max(found.f1_macro)
+    results = C.grid_results(found, rows).withColumn("greatest", F.lit(greatest))
+    chosen = F.when(F.col("best"), F.col("f1_macro") == F.col("greatest")).otherwise(F.lit(found.f1_macro.index(greatest) == found.best))
+    return results.select("trees", "max_depth", "min_instances", (F.col("f1_macro") > 1.5 * constant).alias("beats_majority"), chosen.alias("best_is_greatest"))
 
 
 @register("save_model_checked", f"SELECT count(*) AS n, 0 AS n_changed FROM ({HELD_OUT})")

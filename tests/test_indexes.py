@@ -101,5 +101,5 @@ def test_uncertain_rows_are_limited_before_the_shuffle(spark):
     found = uncertain_by_class(scored, "id", top=20)
     want = [(c, k + 1, i) for c in LABELS for k, (_, i) in enumerate(sorted((p[0] - p[1], i) for i, x, p in rows if x == c)[:20])]
     assert sorted((r.predicted_class, r["rank"], r.id) for r in found.collect()) == sorted(want)
-    plan = found._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("WindowGroupLimit") == 2
+    plan = found._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2 and "Partial" in plan  # before the shuffle, and after it

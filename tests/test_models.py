@@ -151,3 +151,23 @@ def test_csv_round_trip_and_corrupt_rows(spark, tmp_path):
     good, bad = corpus.split_corrupt(corpus.scan_corpus(spark, broken))
     assert [r.id for r in good.collect()] == [7] and bad.count() == 1
     assert good.count() == good.select("text").count() == 1
+
+
+def test_a_forest_below_its_limit_does_not_depend_on_it(spark):
+    """What the grid search relies on: a limit that no tree reaches changes nothing."""
+    import random
+    from dataclasses import replace
+
+    from pyspark.ml.linalg import Vectors
+
+    rng = random.Random(1)
+    rows = [(i, i % 3, Vectors.dense([rng.random() + (i % 3) * 0.3 for _ in range(6)])) for i in range(150)]
+    train = C.training_frame(spark.createDataFrame(rows, ["id", "label_id", "features"]), "id", 3)
+    deep = replace(C.FOREST, trees=12, max_depth=30, min_instances=1, partitions=3)
+    model = C.random_forest(deep).fit(train)
+    depth = max(t.depth for t in model.stages[-1].trees)
+    assert not C.depth_binds(model, depth + 1) and C.depth_binds(model, depth) and depth < 29
+    shallower = C.random_forest(replace(deep, max_depth=depth + 1)).fit(train)
+    assert model.stages[-1].toDebugString.split("\n")[1:] == shallower.stages[-1].toDebugString.split("\n")[1:]
+    limited = C.random_forest(replace(deep, max_depth=depth - 2)).fit(train)
+    assert limited.stages[-1].totalNumNodes < model.stages[-1].totalNumNodes
