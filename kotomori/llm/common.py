@@ -60,6 +60,19 @@ def is_held_out(key: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
+def labelled_sample(rows: DataFrame, labels: DataFrame, key: str, label: str, sample: int, seed: int) -> DataFrame:
+    """``(key, label, text)`` of at most ``sample`` different rows of ``(key, text)`` whose
+    label is 0 or 1 and not held out, those with the smallest hashes. Of several labels of
+    a key the greatest counts; many rows of one key are as likely as any others."""
+    known = labels.select(F.col(f"`{key}`").alias("key"), F.col(f"`{label}`").cast("int").alias("label")).where("label IN (0, 1)")
+    known = known.where(~is_held_out("key")).groupBy("key").agg(F.max("label").alias("label"))
+    keys = known.orderBy(F.xxhash64(F.lit(seed), "key"), "key").limit(sample)
+    hashed = rows.withColumn("digest", F.xxhash64("text"))
+    pairs = hashed.select("key", "digest").join(F.broadcast(keys), "key").distinct()
+    chosen = pairs.orderBy(F.xxhash64(F.lit(seed), "key", "digest"), "key").limit(sample)
+    return hashed.join(F.broadcast(chosen), ["key", "digest"]).dropDuplicates(["key", "digest"]).select("key", "label", "text")  # at most ``sample`` rows each
+
+
 def tokenizer_path(name: str) -> str:
     import public_tokenizers
 

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from kotomori.llm.common import is_held_out, register, slices, table, texts
+from kotomori.llm.common import is_held_out, labelled_sample, register, slices, table, texts
 from kotomori.session import pin
 
 TOKEN = re.compile(r"\w+|[^\w\s]+|\n")
@@ -59,7 +59,7 @@ class Tokens(dict):
         self.limit = limit
 
     def __missing__(self, token: str) -> int:
-        value = zlib.crc32(token.encode()) if len(token) < 64 else zlib.crc32(token[:64].encode(), len(token))
+        value = zlib.crc32(token.encode())
         if len(self) >= self.limit:
             self.clear()
         if len(token) < 64:
@@ -208,10 +208,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, settings: QualitySettings, k
     """
     rows = texts(docs, key, text)
     vectors = token_vectors(rows, settings)
-    known = labels.select(F.col(f"`{key}`").alias("key"), F.col(f"`{label}`").cast("int").alias("label")).where("label IN (0, 1)")
-    known = known.where(~is_held_out("key")).groupBy("key").agg(F.max("label").alias("label"))
-    chosen = known.orderBy(F.xxhash64(F.lit(settings.seed), "key"), "key").limit(settings.sample)
-    sample = rows.join(F.broadcast(chosen), "key")  # at most ``sample`` keys and labels
+    sample = labelled_sample(rows, labels, key, label, settings.sample, settings.seed)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = Tokens(settings.remembered)
@@ -220,7 +217,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, settings: QualitySettings, k
             yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("label"), pa.array(list(x), pa.list_(pa.float64()))], ["key", "label", "x"])
 
     kind = dict(rows.dtypes)["key"]
-    got = pin(sample.select("key", "label", "text").mapInArrow(run, f"key {kind}, label int, x array<double>"), "quality-sample").orderBy("key").limit(settings.sample).collect()
+    got = pin(sample.select("key", "label", "text").mapInArrow(run, f"key {kind}, label int, x array<double>"), "quality-sample").orderBy("key", "x").collect()  # at most ``sample`` rows
     y = np.array([r.label for r in got], dtype=int)
     if len(set(y.tolist())) < 2:
         return QualityModel(vectors, None, float(y.mean()) if len(y) else 0.5)
@@ -230,7 +227,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, settings: QualitySettings, k
 def score_quality(docs: DataFrame, model: QualityModel, settings: QualitySettings, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with a last column ``score``: the probability of label 1.
 
-    A null or empty text is scored like one without tokens. All rows and columns stay.
+    A null or empty text is scored like one without tokens. All rows stay, and all columns but an older ``score``.
     """
     held = docs.sparkSession.sparkContext.broadcast(model)
     column, out = text, "score"

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from kotomori.llm.common import is_held_out, register, slices, table, texts
+from kotomori.llm.common import is_held_out, labelled_sample, register, slices, table, texts
 from kotomori.session import pin
 
 # What a written character may stand for.
@@ -38,8 +38,9 @@ PLAIN_EDGES = "".join(c for c in EDGES if c not in STANDS_FOR)
 #: How often a mark at the edge of a word, or a digit of a number, is no letter.
 NO_LETTER = {"$": 0.02, "@": 0.02, "€": 0.02, "£": 0.02, "|": 0.1, "+": 0.1} | dict.fromkeys("0123456789", 0.5)
 
-#: Three or more single characters with the same separators between them.
-SPACED = re.compile(r"(?<![\w@$])(?:[\w@$!|]([ .*_~·•-])(?:\1)?){2,}[\w@$!|](?![\w@$])")
+#: Three or more single characters with separators between them. No character is both, so
+#: there is one way to read a run.
+SPACED = re.compile(r"(?<![^\W_])(?<![@$])(?:(?:[^\W_]|[@$!|])([ .*_~·•-])(?:\1)?){2,}(?:[^\W_]|[@$!|])(?![^\W_]|[@$])")
 REPEATED = re.compile(r"([^\W\d_])\1\1")
 LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -48,13 +49,10 @@ CLASSES = 128
 
 @dataclass(frozen=True)
 class ToxicitySettings:
-    #: Readings of a token that are followed at a time.
-    beam: int = 48
     #: Labelled documents used to fit, at most: those with the smallest hashes.
     sample: int = 20_000
-    #: Hash buckets of features, and features that the regression keeps.
-    buckets: int = 1 << 20
-    features: int = 512
+    #: Log-likelihood ratio from which a feature counts.
+    strength: float = 3.84
     #: Lengths of word beginnings that are features beside whole words.
     prefixes: tuple[int, ...] = (3, 4, 5, 6, 7)
     #: Toxic documents that a feature must occur in.
@@ -135,14 +133,17 @@ def readings(written: str, i: int) -> list[tuple[str, float]]:
     return options
 
 
-def restore(written: str, model: np.ndarray, beam: int) -> str:
+def restore(written: str, model: np.ndarray) -> str:
     """The best reading of ``written`` (lower case); spaces stand between words."""
-    return best_reading(written, model, beam)[0]
+    return best_reading(written, model)[0]
 
 
-def best_reading(written: str, model: np.ndarray, beam: int) -> tuple[str, float]:
-    """The best reading and its log probability, in time linear in the length: paths are
-    chains of letters with their beginnings in common."""
+def best_reading(written: str, model: np.ndarray) -> tuple[str, float]:
+    """The best reading and its log probability, in time linear in the length.
+
+    Of the paths that end in the same two classes only the best can go on, so the search
+    is exact; paths are chains of letters with their beginnings in common.
+    """
     paths: dict = {(0, 0): (0.0, None)}
     for i in range(len(written)):
         longer: dict = {}
@@ -155,8 +156,6 @@ def best_reading(written: str, model: np.ndarray, beam: int) -> tuple[str, float
                     state, total, text = (b, c), score + p + float(model[a, b, c]), (out, x)
                 if state not in longer or longer[state][0] < total:
                     longer[state] = (total, text)
-        if len(longer) > beam:
-            longer = dict(sorted(longer.items(), key=lambda kv: -kv[1][0])[:beam])
         paths = longer
     closed = lambda kv: kv[1][0] + float(model[kv[0][0], kv[0][1], 0])
     best = max(paths.items(), key=closed)
@@ -180,30 +179,36 @@ class Restored(dict):
         words, score = self.reading(core)
         if wide != core and not wide.isdigit():
             marks = wide.replace(core, "", 1) if core else wide
-            more, other = best_reading(wide, self.model, self.settings.beam)
-            if other > score + sum(log(NO_LETTER.get(c, 0.3)) for c in marks):
+            more, other = best_reading(wide, self.model)
+            if other > (self.score(words) if score is None else score) + sum(log(NO_LETTER.get(c, 0.3)) for c in marks):
                 words = more
         if len(self) >= self.settings.remembered:
             self.clear()
         self[token] = words
         return words
 
-    def reading(self, core: str) -> tuple[str, float]:
-        """The words of a token without its edge marks, and their log probability."""
+    def reading(self, core: str) -> tuple[str, float | None]:
+        """The words of a token without its edge marks, and their log probability; None for
+        words as they are written, which only a token with edge marks asks for."""
+        if core.isalpha() and not REPEATED.search(core):
+            return core, None
         if not core:
             return "", 0.0
         if not any(c.isalpha() for c in core):
             number = sum(log(NO_LETTER.get(c, 0.3)) for c in core)
             if any(c in STANDS_FOR and not c.isdigit() for c in core):
-                words, score = best_reading(core, self.model, self.settings.beam)
+                words, score = best_reading(core, self.model)
                 if score > number:
                     return words, score
             return "", number
         if REPEATED.search(core) or any(c in STANDS_FOR or c in SEPARATORS for c in core):
-            return best_reading(core, self.model, self.settings.beam)
-        letters = " ".join(LETTERS.findall(core))
+            return best_reading(core, self.model)
+        return " ".join(LETTERS.findall(core)), None
+
+    def score(self, letters: str) -> float:
+        """The log probability of words as they are written."""
         codes = [0, 0, *(class_of(c) if c.isalpha() else 0 for c in letters), 0]
-        return letters, sum(float(self.model[x]) for x in zip(codes, codes[1:], codes[2:])) + len(letters) * log(0.95)
+        return sum(float(self.model[x]) for x in zip(codes, codes[1:], codes[2:])) + len(letters) * log(0.95)
 
     def tokens(self, text: str) -> list[str]:
         """The tokens of a text; letters with separators between them become one."""
@@ -213,7 +218,7 @@ class Restored(dict):
         run = match.group()
         if not any(c.isalpha() for c in run):
             return run
-        return restore(run.lower(), self.model, self.settings.beam)
+        return restore(run.lower(), self.model)
 
     def text(self, text: str) -> str:
         return " ".join(map(self.__getitem__, self.tokens(text)))
@@ -223,21 +228,27 @@ class Restored(dict):
 
 
 def word_features(word: str, settings: ToxicitySettings) -> list[int]:
-    """Buckets of a word and of its beginnings."""
-    raw = [zlib.crc32(b"=" + word.encode())] + [zlib.crc32(word[:n].encode()) for n in settings.prefixes if len(word) > n]
-    return [h % settings.buckets for h in raw]
+    """Hashes of a word and of its beginnings."""
+    raw = word.encode()
+    if len(raw) == len(word):
+        return [zlib.crc32(b"=" + raw)] + [zlib.crc32(raw[:n]) for n in settings.prefixes if len(raw) > n]
+    return [zlib.crc32(b"=" + raw)] + [zlib.crc32(word[:n].encode()) for n in settings.prefixes if len(word) > n]
 
 
 class TokenFeatures(dict):
-    """Token -> the features that are kept, as their columns or their buckets."""
+    """Token -> its features, as hashes or, of those that are kept, as columns."""
 
     def __init__(self, restored: Restored, settings: ToxicitySettings, columns: dict[int, int] | None = None):
         super().__init__()
         self.restored, self.settings, self.columns = restored, settings, columns
 
     def __missing__(self, token: str) -> tuple[int, ...]:
-        buckets = [f for word in self.restored[token].split() for f in word_features(word, self.settings)]
-        found = tuple(buckets if self.columns is None else (self.columns[b] for b in buckets if b in self.columns))
+        word = token.lower().strip(PLAIN_EDGES)
+        if word.isalpha() and not REPEATED.search(word):  # read as written
+            hashes = word_features(word, self.settings)
+        else:
+            hashes = [f for word in self.restored[token].split() for f in word_features(word, self.settings)]
+        found = tuple(hashes if self.columns is None else (self.columns[h] for h in hashes if h in self.columns))
         if len(self) >= self.settings.remembered:
             self.clear()
         self[token] = found
@@ -261,15 +272,37 @@ class ToxicityModel:
         return 1.0 / (1.0 + np.exp(-min(30.0, max(-30.0, z))))
 
 
-def logistic(x: np.ndarray, y: np.ndarray, settings: ToxicitySettings) -> np.ndarray:
-    """Penalised logistic regression by Newton steps; the intercept is free."""
-    x = np.hstack([x, np.ones((len(x), 1))])
-    w, ridge = np.zeros(x.shape[1]), np.full(x.shape[1], settings.penalty)
+def logistic(found: list[list[int]], n_columns: int, y: np.ndarray, settings: ToxicitySettings) -> np.ndarray:
+    """Penalised logistic regression on the columns that each row has; the intercept is free.
+
+    Newton steps whose systems are solved by conjugate gradients, so that time and memory
+    go with the columns found and not with rows times columns.
+    """
+    found = [[*columns, n_columns] for columns in found]
+    row = np.repeat(np.arange(len(found)), [len(c) for c in found])
+    col = np.array([c for columns in found for c in columns], dtype=np.int64)
+    n = n_columns + 1
+    w, ridge = np.zeros(n), np.full(n, settings.penalty)
     ridge[-1] = 1e-6
+    times = lambda v: np.bincount(row, v[col], len(found))
+    back = lambda v: np.bincount(col, v[row], n)
     for _ in range(settings.steps):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        slope = x.T @ (y - p) - ridge * w
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.diag(ridge), slope)
+        p = 1 / (1 + np.exp(-np.clip(times(w), -30, 30)))
+        spread = p * (1 - p)
+        scale = back(spread) + ridge  # the diagonal, as columns are 0 or 1
+        rest = back(y - p) - ridge * w
+        goal = 1e-8 * np.sqrt(rest @ rest) + 1e-12
+        step, z = np.zeros(n), rest / scale
+        way, now = z, rest @ z
+        for _ in range(10 * settings.steps):
+            if np.sqrt(rest @ rest) <= goal:
+                break
+            bent = back(spread * times(way)) + ridge * way
+            length = now / (way @ bent)
+            step, rest = step + length * way, rest - length * bent
+            z = rest / scale
+            before, now = now, rest @ z
+            way = z + now / before * way
         w = w + step * min(1.0, 5.0 / max(1e-9, np.abs(step).max()))
         if np.abs(step).max() < 1e-4:
             break
@@ -292,57 +325,37 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, settings: ToxicitySettings,
 
     Labels that are null or not 0 or 1 are left out, and so are those of held-out
     documents. Without documents of both labels no feature counts and the score is the
-    smoothed share of label 1.
+    smoothed share of label 1. An empty table gives the same.
     """
     rows = texts(docs, key, text)
     language = log_model(trigram_counts(rows))
-    known = labels.select(F.col(f"`{key}`").alias("key"), F.col(f"`{label}`").cast("int").alias("label")).where("label IN (0, 1)")
-    known = known.where(~is_held_out("key")).groupBy("key").agg(F.max("label").alias("label"))
-    chosen = known.orderBy(F.xxhash64(F.lit(settings.seed), "key"), "key").limit(settings.sample)
-    sample = pin(rows.join(F.broadcast(chosen), "key").select("key", "label", "text"), "toxicity-sample")  # at most ``sample`` keys
     held = docs.sparkSession.sparkContext.broadcast(language)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        features = TokenFeatures(Restored(held.value, settings), settings)
-        n = np.zeros((2, settings.buckets), dtype=np.int32)
+    def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of = TokenFeatures(Restored(held.value, settings), settings).of
         for batch, part in slices(batches):
-            for y, text in zip(batch.column("label").to_pylist(), part):
-                n[y][features.of(text)] += 1
-        used = np.flatnonzero(n[1] >= 1)
-        more = np.flatnonzero((n[0] >= 1) & (n[1] == 0))
-        for at in (used, more):
-            for k in range(0, len(at), 50_000):
-                b = at[k : k + 50_000]
-                yield pa.RecordBatch.from_arrays([pa.array(b.astype(np.int32)), pa.array(n[0][b]), pa.array(n[1][b])], ["bucket", "n0", "n1"])
+            yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array([of(t) for t in part], pa.list_(pa.int64()))], ["label", "x"])
 
+    chosen = labelled_sample(rows, labels, key, label, settings.sample, settings.seed).select("label", "text")
+    sample = pin(chosen.mapInArrow(features, "label int, x array<long>"), "toxicity-sample")  # at most ``sample`` rows
     all1, all0 = sample.agg(F.count_if(F.col("label") == 1), F.count_if(F.col("label") == 0)).first()
     if not all1 or not all0:
         share = (all1 + 0.5) / (all1 + all0 + 1)
         return ToxicityModel(language, {}, np.array([log(share / (1 - share))]))
-    sums = sample.select("label", "text").mapInArrow(count, "bucket int, n0 int, n1 int").groupBy("bucket").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
-    got = sums.where(F.col("n1") >= settings.least).collect()  # at most ``buckets`` rows, and those of a bounded sample
-    bucket, n0, n1 = (np.array([r[i] for r in got], dtype=np.int64) for i in range(3))
+    held_by = sample.select("label", F.explode("x").alias("feature")).groupBy("feature")
+    sums = held_by.agg(F.count_if(F.col("label") == 0).alias("n0"), F.count_if(F.col("label") == 1).alias("n1"))
+    got = sums.where(F.col("n1") >= settings.least).collect()  # features of a bounded sample
+    feature, n0, n1 = (np.array([r[i] for r in got], dtype=np.int64) for i in range(3))
     strength = association(n1, n0, all1, all0) if len(got) else np.empty(0)
-    best = [i for i in np.lexsort((bucket, -strength))[: settings.features] if strength[i] > 0]
-    columns = {int(bucket[i]): k for k, i in enumerate(best)}
-
-    def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        features = TokenFeatures(Restored(held.value, settings), settings, columns)
-        for batch, part in slices(batches):
-            yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array([features.of(t) for t in part], pa.list_(pa.int32()))], ["label", "x"])
-
-    found = sample.select("label", "text").mapInArrow(vectors, "label int, x array<int>").collect()  # at most ``sample`` rows
-    found.sort(key=lambda r: (r.label, r.x))
-    x = np.zeros((len(found), len(columns)))
-    for i, r in enumerate(found):
-        x[i, r.x] = 1.0
-    return ToxicityModel(language, columns, logistic(x, np.array([r.label for r in found], dtype=float), settings))
+    columns = {f: k for k, f in enumerate(sorted(feature[strength >= settings.strength].tolist()))}
+    found = sorted((r.label, [columns[f] for f in r.x if f in columns]) for r in sample.toLocalIterator())
+    return ToxicityModel(language, columns, logistic([x for _, x in found], len(columns), np.array([y for y, _ in found], dtype=float), settings))
 
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel, settings: ToxicitySettings, text: str = "text", restored: str | None = None) -> DataFrame:
     """``docs`` with a last column ``score``, the probability of label 1, and before it the
     restored text if ``restored`` names a column for it. A null or empty text scores
-    like one without words. All rows and columns stay."""
+    like one without words. All rows stay, and all columns but those of these names."""
     held = docs.sparkSession.sparkContext.broadcast(model)
     extra = [StructField(restored, StringType())] if restored else []
     extra.append(StructField("score", DoubleType()))

@@ -1,16 +1,21 @@
 """Held-out accuracy of the two classifiers, and restored words."""
 
+import time
+
 import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from kotomori.llm.common import is_held_out, texts
-from kotomori.llm.quality import QualitySettings, fit_network, fit_quality, op10_quality, pooled, score_quality
-from kotomori.llm.toxicity import Restored, ToxicitySettings, fit_toxicity, log_model, logistic, op7_toxicity, score_toxicity, trigram_counts
+from kotomori.llm.common import is_held_out, labelled_sample, texts
+from kotomori.llm.quality import TOKEN, QualitySettings, Tokens, fit_network, fit_quality, indexed, op10_quality, pooled, score_quality, token_vectors
+from kotomori.llm.toxicity import CLASSES, SPACED, Restored, ToxicitySettings, best_reading, class_of, fit_toxicity, log_model, logistic, op7_toxicity, readings, score_toxicity, trigram_counts
 from tests.llm.rows import awkward, empty
 
 LARGER = "/root/testdata/sf0.01"
 LABELS = "doc_id long, quality int, toxic int"
+MODEL = log_model(np.random.default_rng(2).gamma(0.2, 5.0, (CLASSES, CLASSES, CLASSES)))
 
 
 def ranked_right(scores, truth):
@@ -84,6 +89,75 @@ def test_words_of_any_length_and_edge_are_restored(spark):
     assert "idiot" in restored.text(" ".join("idiot" * 40))  # a spaced run of 399 characters
 
 
+def all_readings(written):
+    """Every way through the lattice, with its channel probability."""
+    paths = [("", 0.0)]
+    for i in range(len(written)):
+        paths = [(text + x, p + q) for text, p in paths for x, q in readings(written, i)]
+    return paths
+
+
+@given(st.text("ab1i$@! .s", min_size=1, max_size=6))
+@settings(max_examples=150, deadline=None)
+def test_the_best_reading_is_the_best_of_all(written):
+    codes = lambda t: [0, 0, *(class_of(c) if c.strip() else 0 for c in t), 0]
+    total = lambda t, p: p + sum(float(MODEL[x]) for x in zip(codes(t), codes(t)[1:], codes(t)[2:]))
+    want = max(total(t, p) for t, p in all_readings(written))
+    text, score = best_reading(written, MODEL)
+    assert score == pytest.approx(want, abs=1e-6)
+    assert any(t == text and total(t, p) == pytest.approx(want, abs=1e-6) for t, p in all_readings(written))
+
+
+@pytest.mark.parametrize("text", ["_" * 100_000 + "abc", "a " * 50_000 + "bcd", "_a" * 50_000, "- " * 50_000, "." * 100_000 + "word"])
+def test_long_runs_take_little_time(text):
+    started = time.perf_counter()
+    SPACED.sub("", text)
+    assert time.perf_counter() - started < 1
+    restored = Restored(MODEL, ToxicitySettings())
+    assert restored.text("_" * 100_000 + "abc") == "abc" and time.perf_counter() - started < 5
+
+
+def test_many_rows_of_one_key_are_a_bounded_sample(spark):
+    rows = spark.createDataFrame([(1, f"text {i}") for i in range(300)] + [(1, "same")] * 300 + [(k, "other") for k in range(2, 40)], "key long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(60)] + [(1, 0)], "key long, y int")
+    got = labelled_sample(rows, labels, "key", "y", 50, 1).collect()
+    assert len(got) == 50 and len({(r.key, r.text) for r in got}) == 50 and len({r.key for r in got}) > 1
+    assert all(r.label == r.key % 2 for r in got)
+
+
+def test_long_tokens_are_hashed_whole():
+    tokens = Tokens(10)
+    assert tokens["x" * 64 + "a"] != tokens["x" * 64 + "b"]
+
+
+def test_word_vectors_and_pooling_against_loops(spark):
+    """Neighbours within two tokens, one class at a time, in plain Python."""
+    s = QualitySettings(classes=64, dims=8)
+    docs = ["the cat sat on the mat .", "a b", "the the the", "one", ""]
+    tokens = Tokens(100)
+    words = [TOKEN.findall(d) for d in docs]
+    sign = lambda w: {d: g for d, g in zip(*[x.tolist() for x in indexed(tokens.of(w), s)[1:]])}
+    klass = lambda w: int(indexed(tokens.of(w), s)[0][0])
+    sums = np.zeros((s.classes, s.dims))
+    own = np.zeros((len(docs), s.dims))
+    for d, ws in enumerate(words):
+        for i, w in enumerate(ws):
+            for j in range(max(0, i - 2), min(len(ws), i + 3)):
+                if i != j:
+                    for dim, g in sign(ws[j]).items():
+                        sums[klass(w), dim] += g
+                        own[d, dim] += g / len(ws)
+    vectors = token_vectors(spark.createDataFrame([(d,) for d in docs], "text string").repartition(3), s)
+    assert np.allclose(vectors, sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-12))
+    got = pooled(docs, tokens, vectors, s)
+    for d, ws in enumerate(words):
+        if not ws:
+            assert not got[d].any()
+            continue
+        v = np.array([vectors[klass(w)] for w in ws])
+        assert np.allclose(got[d], np.hstack([v.mean(axis=0), v.std(axis=0), own[d], [len(set(ws)) / len(ws), np.log1p(len(ws))]]), atol=1e-6)
+
+
 def test_network_learns_and_is_calibrated():
     rng = np.random.default_rng(0)
     x = rng.normal(size=(3000, 4))
@@ -99,10 +173,10 @@ def test_logistic_gradient_vanishes():
     rng = np.random.default_rng(0)
     x = (rng.random((400, 6)) < 0.3).astype(float)
     y = (rng.random(400) < 1 / (1 + np.exp(-(x[:, 0] * 2 - 1)))).astype(float)
-    settings = ToxicitySettings()
-    w = logistic(x, y, settings)
+    chosen = ToxicitySettings()
+    w = logistic([np.flatnonzero(r).tolist() for r in x], 6, y, chosen)
     p = 1 / (1 + np.exp(-(x @ w[:-1] + w[-1])))
-    assert np.abs(x.T @ (y - p) - settings.penalty * w[:-1]).max() < 1e-3
+    assert np.abs(x.T @ (y - p) - chosen.penalty * w[:-1]).max() < 1e-3
 
 
 def test_pooling_takes_each_text_for_itself():
