@@ -44,7 +44,7 @@ class BestFitSettings:
     width: int = 4
     looks: int = 400
     #: Steps of the search, and how often the rest is packed by best fit.
-    steps: int = 20_000
+    steps: int = 2_000
     best_fit_every: int = 50
 
 

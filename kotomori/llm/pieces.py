@@ -145,27 +145,54 @@ class WordIds(dict):
 class ByteIds(dict):
     """Pre-token of the byte-level tokenizer -> its ids as little-endian 32-bit bytes.
 
-    ``limit`` bounds the number of pre-tokens kept; the table starts afresh beyond it.
+    New pre-tokens are tokenized many at a time, with a separator between them that is in
+    none. ``limit`` bounds the number kept; beyond it those not used since the last time
+    it was reached go.
     """
 
-    def __init__(self, path: str, limit: int = 300_000, special: str = "<|endoftext|>"):
+    SEPARATOR = "\0"
+    TOGETHER = 500
+
+    def __init__(self, path: str, limit: int = 200_000, special: str = "<|endoftext|>"):
         super().__init__()
-        self.limit, self.special = limit, special
-        self.merges, self.split = merges_only(path, at_spaces=False), byte_pieces(path, special)
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        self.limit, self.special, self.older = limit, special, {}
+        self.single, self.split = merges_only(path, at_spaces=False), byte_pieces(path, special)
+        self.merges = Tokenizer(load_tokenizer(path).model)
+        to_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.merges.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.Split(self.SEPARATOR, "removed"), to_bytes])
         self.special_id = load_tokenizer(path).token_to_id(special).to_bytes(4, "little")
 
     def learn(self, pieces: list[str]) -> None:
-        for piece, found in zip(pieces, self.merges.encode_batch_fast(pieces, add_special_tokens=False)):
-            self[piece] = np.array(found.ids, dtype="<u4").tobytes()
+        odd = [p for p in pieces if self.SEPARATOR in p]
+        if odd:
+            pieces = [p for p in pieces if self.SEPARATOR not in p]
+            self.update((p, np.array(f.ids, dtype="<u4").tobytes()) for p, f in zip(odd, self.single.encode_batch_fast(odd, add_special_tokens=False)))
+        chunks = [pieces[k : k + self.TOGETHER] for k in range(0, len(pieces), self.TOGETHER)]
+        for chunk, found in zip(chunks, self.merges.encode_batch(list(map(self.SEPARATOR.join, chunks)), add_special_tokens=False)):
+            raw = np.array(found.ids, dtype="<u4").tobytes()
+            stops = (4 * (np.flatnonzero(np.diff(np.array(found.word_ids, dtype=np.int64), append=-1)) + 1)).tolist()
+            start = 0
+            for piece, stop in zip(chunk, stops, strict=True):
+                self[piece] = raw[start:stop]
+                start = stop
 
     def of(self, texts: list[str]) -> list[bytes]:
         """The ids of whole texts."""
         parts = [[self.split(p)[0] for p in (t.split(self.special) if self.special in t else (t,))] for t in texts]
-        needed = set().union(*(p for ps in parts for p in ps))
-        new = [p for p in needed if p not in self]
+        needed = set()
+        for ps in parts:
+            needed.update(*ps)
+        new = needed.difference(self)
         if len(self) + len(new) > self.limit:
+            self.older = dict(self)
             self.clear()
-            new = list(needed)
-        self.learn(new)
+            new = needed
+        if self.older:
+            known = [p for p in new if p in self.older]
+            self.update(zip(known, map(self.older.__getitem__, known)))
+            new = new.difference(known)
+        self.learn(list(new))
         get = self.__getitem__
         return [self.special_id.join([b"".join(map(get, p)) for p in ps]) for ps in parts]
