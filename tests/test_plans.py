@@ -16,6 +16,7 @@ from kotomori.session import SPREAD, spread
 from kotomori.sources.policy import builtin_tier_policy
 
 EAGER = {n for n in ORACLES if n.startswith(("sink_", "scan_", "save_", "stream_")) or n in ("fit_features", "transform_features")}
+EAGER |= {"grid_search_checked", "cross_validate_checked", "random_forest_checked"}  # fit models of their own
 
 
 def plan(df):
