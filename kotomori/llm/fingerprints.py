@@ -1,13 +1,18 @@
 """Document fingerprints from closed syncmers, in DataFrame functions only.
 
-A text is read as pieces: runs of up to ``piece`` characters between white space, cut
-from the start of each run. Of the stretches of ``k`` pieces those are kept whose
-smallest inner stretch of ``s`` pieces, by hash, is the first or the last one. Whether a
-stretch is kept depends on nothing outside it, so equal passages give equal anchors
-wherever they stand, and anchors with their places align two texts.
-
-The fingerprint of a text is the ``kept`` smallest hashes of its anchors, which gives the
-likeness of two texts from their fingerprints alone.
+A text is read as pieces. A piece ends behind a closing character, before white space or at
+the end of the text; closing are the ASCII characters whose code divides by ``stride`` and
+all others beyond ASCII. So a character closes by itself and not by its place in a run, and
+text without spaces falls into step again behind the next closing character, however much
+was put in before it. Of the stretches of ``k`` pieces those are kept whose smallest inner
+stretch of ``s`` pieces, by hash, is the first or the last one. Whether a stretch is kept
+depends on its own characters and on where its first piece begins, so equal passages give
+equal anchors wherever they stand, and anchors with their places align two texts.
+
+Two texts are matched in place: an anchor, the next one and the number of pieces between
+them are a link, and the likeness of two texts is the share of links they have in common.
+All anchors take part, however long a text is. The fingerprint as a string is shorter: the
+``kept`` smallest hashes of the anchors and a digest of all anchors and places.
 """
 
 from __future__ import annotations
@@ -23,16 +28,22 @@ from kotomori.llm.common import register, table, texts
 
 @dataclass(frozen=True)
 class SyncmerSettings:
-    piece: int = 4
+    #: One of so many ASCII characters closes a piece.
+    stride: int = 5
     k: int = 5
     s: int = 2
-    #: Anchors in a fingerprint.
+    #: Anchor hashes in a fingerprint's string.
     kept: int = 64
     #: Key ranges found by percentiles, before they are split evenly.
     ranges: int = 64
 
 
-NO_HASHES = "array<long>"
+def piece_pattern(stride: int) -> str:
+    """Characters that do not close and the one that does, or such characters alone."""
+    visible = [c for c in range(128) if c != 0x20 and not 0x09 <= c <= 0x0D]
+    opens = "".join(rf"\x{c:02x}" for c in visible if c % stride)
+    closes = "".join(rf"\x{c:02x}" for c in visible if c % stride == 0) + r"\x{80}-\x{10ffff}"
+    return f"[{opens}]*+[{closes}]|[{opens}]++" if opens else f"[{closes}]"
 
 
 def inner(df: DataFrame, text: str, settings: SyncmerSettings) -> DataFrame:
@@ -41,7 +52,7 @@ def inner(df: DataFrame, text: str, settings: SyncmerSettings) -> DataFrame:
     Each array is a column of its own that later steps name more than once, so that it is
     made once for each row and not once for each element.
     """
-    pieces = F.regexp_extract_all(F.col(text), F.lit(rf"[^\x20\x09-\x0D]{{1,{settings.piece}}}"), F.lit(0))
+    pieces = F.regexp_extract_all(F.col(text), F.lit(piece_pattern(settings.stride)), F.lit(0))
     df = df.withColumn("_h", F.transform(pieces, lambda x: F.xxhash64(x)))
     inner_hash = lambda x, i: F.xxhash64(x, *[F.get(F.col("_h"), i + j) for j in range(1, settings.s)])
     return df.withColumn("_m", F.transform(F.slice("_h", 1, F.greatest(F.size("_h") - (settings.s - 1), F.lit(0))), inner_hash))
@@ -74,34 +85,29 @@ def with_anchors(df: DataFrame, settings: SyncmerSettings, text: str = "text", o
     return df.withColumn(out, found).drop("_h", "_m", "_at")
 
 
-def with_sketch(df: DataFrame, settings: SyncmerSettings, text: str = "text", out: str = "sketch") -> DataFrame:
-    """Adds ``out``: the ``kept`` smallest distinct anchor hashes of ``text``, ascending."""
+def with_fingerprint(df: DataFrame, settings: SyncmerSettings, text: str = "text", out: str = "fingerprint", links: str = "links") -> DataFrame:
+    """Adds ``out``, the fingerprint as a string, and ``links``, the distinct links of all
+    anchors of ``text``; a text of one anchor has that one as its link."""
     df = with_anchors(df, settings, text, "_anchors")
-    hashes = F.transform("_anchors", lambda x: x["hash"])
-    return df.withColumn(out, F.slice(F.sort_array(F.array_distinct(hashes)), 1, settings.kept)).drop("_anchors")
+    follower = lambda i: F.get(F.col("_anchors"), i + 1)
+    link = lambda x, i: F.xxhash64(x["hash"], follower(i)["at"] - x["at"], follower(i)["hash"])
+    many = F.transform(F.slice("_anchors", 1, F.greatest(F.size("_anchors") - 1, F.lit(0))), link)
+    lone = F.transform("_anchors", lambda x: x["hash"])
+    smallest = F.slice(F.sort_array(F.array_distinct(F.transform("_anchors", lambda x: x["hash"]))), 1, settings.kept)
+    string = F.concat(F.array_join(F.transform(smallest, lambda h: hexes(h, 8)), ""), hexes(F.xxhash64("_anchors"), 16))
+    df = df.withColumn(out, F.when(F.size("_anchors") > 0, string).otherwise(""))
+    return df.withColumn(links, F.array_distinct(F.when(F.size("_anchors") > 1, many).otherwise(lone))).drop("_anchors")
 
 
-def likeness(a: str, b: str, settings: SyncmerSettings) -> Column:
-    """Share of the anchors that two texts have in common (Dice), from their sketches.
-
-    The smallest hashes of both together are a random sample of all anchors of both. It
-    is exact for texts with few anchors; 1 if both have none, 0 if one has.
-    """
-    both = F.slice(F.sort_array(F.array_union(a, b)), 1, settings.kept)
-    common = F.size(F.array_intersect(F.array_intersect(a, b), both))
-    shared = common / F.greatest(F.size(both), F.lit(1))
-    return F.when(F.size(both) == 0, 1.0).otherwise(2 * shared / (1 + shared))
-
-
-def aligned(a: str, b: str) -> Column:
-    """Pairs of places ``array<struct<left, right>>`` where two anchor columns agree; an
-    anchor that repeats in ``b`` counts at its first place."""
-    first = F.map_from_entries(F.transform(F.array_distinct(F.transform(b, lambda x: x["hash"])), lambda h: F.struct(h, F.filter(F.col(b), lambda x: x["hash"] == h)[0]["at"])))
-    return F.filter(F.transform(a, lambda x: F.struct(x["at"].alias("left"), F.try_element_at(first, x["hash"]).alias("right"))), lambda p: p["right"].isNotNull())
+def hexes(number: Column, width: int) -> Column:
+    return F.lpad(F.lower(F.hex(number)), width, "0")
 
 
-def as_text(sketch: str) -> Column:
-    return F.concat_ws("", F.transform(sketch, lambda h: F.lpad(F.lower(F.hex(h)), 8, "0")))
+def likeness(a: str, b: str) -> Column:
+    """Share of their links that two texts have in common (Dice); 1 if both have none, 0 if
+    one has."""
+    n = F.size(a) + F.size(b)
+    return F.when(n == 0, 1.0).otherwise(2 * F.size(F.array_intersect(a, b)) / F.greatest(n, F.lit(1)))
 
 
 def key_ranges(df: DataFrame, settings: SyncmerSettings) -> Column:
@@ -123,8 +129,8 @@ def key_ranges(df: DataFrame, settings: SyncmerSettings) -> Column:
 
 
 def with_next(rows: DataFrame, settings: SyncmerSettings) -> DataFrame:
-    """Adds ``sketch``, and ``next_text`` and ``next_sketch`` of the row after in key order;
-    the first row comes after the last.
+    """Adds ``fingerprint`` and ``links``, and ``next_text`` and ``next_links`` of the row after
+    in key order; the first row comes after the last.
 
     Rows are dealt by key ranges and the window runs inside a range. The first row of
     each range also goes, as a copy, to the end of the range before it, so that the
@@ -139,9 +145,12 @@ def with_next(rows: DataFrame, settings: SyncmerSettings) -> DataFrame:
     at_head = F.col("key").eqNullSafe(F.col("h_key")) & (F.col("tie") == F.col("h_tie"))
     # a key and two numbers for each range, and there are at most 4 times as many ranges as partitions
     copies = rows.join(F.broadcast(heads), at_head).dropDuplicates(["before"]).withColumn("range", F.col("before")).drop("h_key", "h_tie", "before")
-    every = with_sketch(rows.withColumn("copy", F.lit(False)).unionByName(copies.withColumn("copy", F.lit(True))), settings)
-    order = Window.partitionBy("range").orderBy("copy", "key", "tie")
-    led = every.withColumn("next_text", F.lead("text").over(order)).withColumn("next_sketch", F.lead("sketch").over(order))
+    order = ["copy", "key", "tie"]
+    every = rows.withColumn("copy", F.lit(False)).unionByName(copies.withColumn("copy", F.lit(True)))
+    # dealt and sorted as the window wants it, so that links are made behind the shuffle
+    dealt = with_fingerprint(every.repartition("range").sortWithinPartitions("range", *order), settings)
+    after = Window.partitionBy("range").orderBy(*order)
+    led = dealt.withColumn("next_text", F.lead("text").over(after)).withColumn("next_links", F.lead("links").over(after))
     return led.where("NOT copy").drop("range", "tie", "copy")
 
 
@@ -157,19 +166,20 @@ def compare_edited(docs: DataFrame, settings: SyncmerSettings, key: str = "doc_i
     the next row's text, or by all of them. Null texts are empty; rows with equal keys
     are ordered by their texts' hashes, null keys come first. The only row is its own
     next one. Keys are whole numbers; ranges of keys are dealt, so repeats of one key
-    meet in one range, where they are sorted with spilling.
+    meet in one range, where they are sorted with spilling. No rows give no rows; other
+    columns play no part. A text without visible characters has the empty fingerprint.
     """
     rows = with_next(texts(docs, key, text).withColumn("key", F.col("key").cast("long")), settings)
     size = F.length("text")
     half = F.floor(size / 2).cast("int")
     rows = rows.withColumn("n_chars", size.cast("long")).withColumn("edited", F.concat(F.left("text", size - half), F.left("next_text", half)))
-    rows = with_sketch(rows.drop("text", "next_text"), settings, "edited", "edited_sketch")
+    rows = with_fingerprint(rows.drop("text", "next_text"), settings, "edited", "edited_fingerprint", "edited_links")
     return rows.select(
         F.col("key").alias(key),
         "n_chars",
         F.sha2("edited", 256).alias("edited_sha256"),
-        as_text("sketch").alias("fingerprint"),
-        as_text("edited_sketch").alias("edited_fingerprint"),
-        likeness("sketch", "edited_sketch", settings).alias("near_edited"),
-        likeness("sketch", "next_sketch", settings).alias("near_next"),
+        "fingerprint",
+        "edited_fingerprint",
+        likeness("links", "edited_links").alias("near_edited"),
+        likeness("links", "next_links").alias("near_next"),
     )

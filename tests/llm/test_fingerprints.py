@@ -1,11 +1,13 @@
 """Syncmers against a plain implementation of the same rule; likeness of edited texts."""
 
 import hashlib
+import random
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
-from kotomori.llm.fingerprints import SyncmerSettings, aligned, compare_edited, op3_fingerprints, with_anchors
+from kotomori.llm.fingerprints import SyncmerSettings, compare_edited, likeness, op3_fingerprints, with_anchors, with_fingerprint
 from tests.llm.rows import awkward, empty
 
 SETTINGS = SyncmerSettings()
@@ -18,9 +20,22 @@ def hashes(spark, values):
     return {(tuple(r.v) if not isinstance(r.v, str) else r.v): r.h for r in df.select("v", column.alias("h")).collect()}
 
 
-def test_anchors_follow_the_rule(spark):
-    text = "the quick brown fox jumps over the lazy dog and then rests under an old tree for hours"
-    pieces = re.findall(r"[^\x20\x09-\x0D]{1,4}", text)
+def pieces_of(text):
+    """A plain scan: a piece ends at a closing character, before white space or at the end."""
+    pieces, held = [], ""
+    for c in text:
+        if c in " \t\n\v\f\r":
+            pieces, held = pieces + [held] * bool(held), ""
+            continue
+        held += c
+        if ord(c) > 127 or ord(c) % SETTINGS.stride == 0:
+            pieces, held = pieces + [held], ""
+    return pieces + [held] * bool(held)
+
+
+@pytest.mark.parametrize("text", ["the quick brown fox jumps over the lazy dog and then\trests_under an old tree for hours", "暴言を吐くコメントwith mixed 文字列、ノイズ!! and a ünïcode tail 2026"])
+def test_anchors_follow_the_rule(spark, text):
+    pieces = pieces_of(text)
     of = hashes(spark, pieces)
     h = [of[p] for p in pieces]
     pairs = [tuple(h[i : i + 2]) for i in range(len(h) - 1)]
@@ -38,10 +53,64 @@ def test_anchors_do_not_depend_on_context(spark):
     rows = with_anchors(spark.createDataFrame(texts, "text string"), SETTINGS).collect()
     sets = [{a.hash for a in r.anchors} for r in rows]
     assert sets[1] <= sets[0] and sets[1] <= sets[2]
-    both = spark.createDataFrame([(texts[0][0], texts[1][0])], "text string, other string")
-    both = with_anchors(with_anchors(both, SETTINGS), SETTINGS, "other", "others")
-    pairs = both.select(aligned("anchors", "others").alias("p")).first().p
-    assert len({p.left - p.right for p in pairs}) == 1 and len(pairs) == len(sets[1])
+    places = [{a.hash: a.at for a in r.anchors} for r in rows]
+    for other in (places[0], places[2]):
+        assert len({other[h] - at for h, at in places[1].items()}) == 1
+
+
+def unspaced(alphabet, n, seed):
+    rng = random.Random(seed)
+    return "".join(rng.choice(alphabet) for _ in range(n))
+
+
+@pytest.mark.parametrize("alphabet", ["".join(map(chr, range(0x3042, 0x3082))), "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"])
+def test_text_without_spaces_may_start_anywhere(spark, alphabet):
+    text = unspaced(alphabet, 800, 1)
+    rows = [(text, unspaced(alphabet, n, 2) + text) for n in range(1, 6)] + [(text, text[:400] + "x" + text[400:]), (text, unspaced(alphabet, 800, 3))]
+    found = compared(spark, rows)
+    assert all(r.near > 0.9 for r in found[:6]) and found[6].near < 0.05
+
+
+def compared(spark, rows):
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, text string, other string")
+    df = with_fingerprint(with_fingerprint(df, SETTINGS), SETTINGS, "other", "other_fingerprint", "others")
+    return df.select("i", "fingerprint", "other_fingerprint", "links", "others", likeness("links", "others").alias("near")).orderBy("i").collect()
+
+
+def test_every_anchor_counts(spark):
+    """One word changed in a long text changes its fingerprint, and a passage of a hundred
+    words that two long texts share is likeness."""
+    rng = random.Random(5)
+    word = lambda: unspaced("abcdefghijklmnopqrstuvwxyz", rng.randint(2, 9), rng.random())
+    base = [word() for _ in range(6000)]
+    once = [*base[:3000], "changed", *base[3001:]]
+    other = [word() for _ in range(6000)]
+    shared = [*other[:2000], *base[2000:2100], *other[2000:]]
+    edit, passage, nothing = compared(spark, [(" ".join(base), " ".join(t)) for t in (once, shared, other)])
+    assert edit.fingerprint != edit.other_fingerprint and 0.99 < edit.near < 1
+    assert 0.5 * 100 / 6000 < passage.near < 2 * 100 / 6000 and nothing.near < 0.2 * passage.near
+
+
+def test_likeness_counts_links_in_place(spark):
+    """Links are an anchor, its follower and the pieces between them, counted by hand."""
+    base = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen"
+    texts = [base, base[:40], "unlike anything else that was said", base + " " + base, "", "word"]
+    rows = [(a, b) for a in texts for b in texts]
+    links = {}
+    for r in with_anchors(spark.createDataFrame([(t,) for t in texts], "text string"), SETTINGS).collect():
+        found = [(a.hash, a.at) for a in r.anchors]
+        links[r.text] = {(h, j - i, g) for (h, i), (g, j) in zip(found, found[1:])} if len(found) != 1 else {found[0][0]}
+    for (a, b), r in zip(rows, compared(spark, rows)):
+        n = len(links[a]) + len(links[b])
+        assert len(r.links) == len(links[a])
+        assert r.near == (2 * len(links[a] & links[b]) / n if n else 1.0)
+
+
+def test_one_shuffle_of_texts(spark, sf):
+    """Links are made behind the shuffle by ranges, which the window uses as it is."""
+    plan = op3_fingerprints(spark, sf)._jdf.queryExecution().executedPlan().toString()
+    above, below = plan.split("REPARTITION_BY_COL")
+    assert "Window [lead(text" in above and "Exchange" not in above[: above.rindex("Exchange")] and above.count("Sort [") == 1
 
 
 def test_awkward_rows(spark):
