@@ -8,17 +8,22 @@ from pyspark.sql import functions as F
 from kotomori.config import CLEAN, RISK, CleanSettings, RiskWeights
 from kotomori.functions.evasion import with_evasion
 from kotomori.functions.text import clean_text
+from kotomori.operators.segment import with_segmented_text
 
 
 def with_processed_text(df: DataFrame, text: str = "text", settings: CleanSettings = CLEAN) -> DataFrame:
     return df.withColumn("processed_text", clean_text(F.col(text), settings))
 
 
-def clean_corpus(df: DataFrame, text: str = "text", settings: CleanSettings = CLEAN, where: Column | str | None = None) -> DataFrame:
+def clean_corpus(
+    df: DataFrame, text: str = "text", settings: CleanSettings = CLEAN, where: Column | str | None = None, dictionary: DataFrame | None = None
+) -> DataFrame:
     """Add ``processed_text`` and drop the rows that have nothing left; ``where`` filters the
-    input (see :func:`~kotomori.functions.evasion.with_evasion`)."""
+    input (see :func:`~kotomori.functions.evasion.with_evasion`). A ``dictionary`` of words
+    and costs takes the place of the tokenizer of the settings."""
     rows = df if where is None else df.where(where)
-    return with_processed_text(rows, text, settings).where(F.col("processed_text") != "")
+    cut = with_processed_text(rows, text, settings) if dictionary is None else with_segmented_text(rows, dictionary, text, settings)
+    return cut.where(F.col("processed_text") != "")
 
 
 def drop_report(df: DataFrame, text: str = "text", settings: CleanSettings = CLEAN) -> DataFrame:
@@ -37,22 +42,24 @@ def prepare(
     settings: CleanSettings = CLEAN,
     weights: RiskWeights = RISK,
     where: Column | str | None = None,
+    dictionary: DataFrame | None = None,
 ) -> DataFrame:
     """Clean, then analyse evasion; ``processed_text`` ends up normalised.
 
     ``order="clean_first"`` looks for tricks in the cleaned tokens, which hides
     most of them from a character tokenizer; ``"raw_first"`` looks at the raw
-    text and cleans what it has undone. ``where`` filters the input.
+    text and cleans what it has undone. ``where`` filters the input, and a ``dictionary``
+    cuts the words (see :func:`clean_corpus`).
     """
     df = df if where is None else df.where(where)
     if settings.order == "clean_first":
-        analysed = with_evasion(clean_corpus(df, text, settings), "processed_text", weights)
+        analysed = with_evasion(clean_corpus(df, text, settings, dictionary=dictionary), "processed_text", weights)
         return analysed.drop("processed_text").withColumnRenamed("normalized", "processed_text")
     if settings.order != "raw_first":
         raise ValueError(f"unknown order {settings.order!r}")
     raw = df.withColumn("_raw", F.coalesce(F.col(text), F.lit("")))
     analysed = with_evasion(raw, "_raw", weights).drop("_raw")
-    return clean_corpus(analysed, "normalized", settings).drop("normalized")
+    return clean_corpus(analysed, "normalized", settings, dictionary=dictionary).drop("normalized")
 
 
 def high_risk_rate(df: DataFrame, *by: str, weights: RiskWeights = RISK) -> DataFrame:

@@ -24,10 +24,12 @@ SIZE = 3
 
 
 def grams(text: Column, size: int = SIZE) -> Column:
-    """The distinct runs of ``size`` characters of a text, and all shorter ones if asked."""
-    starts = F.sequence(F.lit(1), F.greatest(F.char_length(text) - (size - 1), F.lit(1)))
-    found = F.transform(starts, lambda i: F.substring(text, i, F.lit(size)))
-    return F.array_distinct(F.filter(found, lambda g: F.char_length(g) == size))
+    """The distinct runs of ``size`` characters of a text.
+
+    One pass of a pattern that looks ahead and moves on by a character: cutting substrings
+    by their place would walk a long text from its start each time.
+    """
+    return F.array_distinct(F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{size}}}))."), F.lit(1)))
 
 
 def text_grams(df: DataFrame, text: str, sizes: list[int]) -> DataFrame:

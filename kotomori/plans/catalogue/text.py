@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from kotomori.config import STOPWORDS, CleanSettings
 from kotomori.functions import text as X
 from kotomori.operators.cleaning import clean_corpus, drop_report, lemmatise
+from kotomori.operators.segment import with_segments
 from kotomori.plans.catalogue.base import (
     EVADED,
     SQL_NON_SPACE,
@@ -18,6 +19,7 @@ from kotomori.plans.catalogue.base import (
     register,
     table,
 )
+from kotomori.session import pin
 
 RUNS = X.SCRIPT_RUN
 SQL_URL = X.URL
@@ -156,6 +158,18 @@ def lemmatise_query(spark, sf):
     return lemmatise(docs, lemmas, "doc_id").select("doc_id", F.array_join("tokens", " ").alias("lemmas"))
 
 
+@register("segment_dictionary")
+def segment_dictionary(spark, sf):
+    """Texts whose spaces are gone, cut by a dictionary of all words of the corpus; frequent
+    words are cheap."""
+    docs = documents(spark, sf, "doc_id", "text")
+    words = docs.select(F.explode(X.segment_tokens(F.col("text"))).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    priced = words.select("word", F.greatest(F.lit(1), 40 - 2 * F.floor(F.log2("n"))).alias("cost"))
+    joined = docs.select("doc_id", F.regexp_replace("text", X.SPACE_RUN, "").alias("text"))
+    cut = with_segments(joined, pin(priced, "dictionary"), "text")
+    return cut.select("doc_id", F.size("tokens").alias("n_tokens"), F.array_join("tokens", " ").alias("tokens"))
+
+
 @register("preview", "SELECT doc_id, substr(text, 1, 60) || '...' AS text_preview FROM documents")
 def preview(spark, sf):
     return documents(spark, sf, "doc_id", "text").select("doc_id", X.preview(F.col("text")).alias("text_preview"))

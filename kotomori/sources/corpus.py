@@ -71,3 +71,13 @@ def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 def scan_parquet(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     reader = spark.read if schema is None else spark.read.schema(schema)
     return reader.parquet(path)
+
+
+def scan_dictionary(spark: SparkSession, path: str) -> DataFrame:
+    """``(word, cost)`` of a segmentation dictionary: CSV files with a header, by its names. A
+    cost that is no whole number is null, which stands for the default cost."""
+    rows = spark.read.option("header", True).option("quote", '"').option("escape", '"').csv(path)
+    if "word" not in rows.columns:
+        raise ValueError(f"{path} has no column 'word'")
+    cost = F.expr("try_cast(cost AS bigint)") if "cost" in rows.columns else F.lit(None).cast("bigint")
+    return rows.select("word", cost.alias("cost"))
