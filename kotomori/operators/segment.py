@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 
 from kotomori.config import CLEAN, CleanSettings
 from kotomori.functions.text import clean_string, drop_stopwords, segment_tokens
-from kotomori.operators.lexicon import candidates, phrase_index
+from kotomori.operators.lexicon import phrase_index, text_grams
+from kotomori.session import pin
 
 
 @dataclass(frozen=True)
@@ -43,9 +44,15 @@ def known_words(dictionary: DataFrame, costs: LatticeCosts = LATTICE) -> DataFra
     return named.where("phrase <> ''").groupBy("phrase").agg(F.min("cost").alias("cost"))
 
 
-def dictionary_index(dictionary: DataFrame) -> DataFrame:
-    """The index of a dictionary's words, as a table that many segmentations share."""
-    return phrase_index(dictionary.select(F.col("word").alias("phrase")))
+#: Grams of the index of words. Words up to this length are filed under themselves, so most
+#: candidates are words that the text holds.
+GRAM = 6
+
+
+def dictionary_index(dictionary: DataFrame, costs: LatticeCosts = LATTICE, size: int = GRAM) -> DataFrame:
+    """The index of a dictionary's words and their costs, as a table that many segmentations share."""
+    words = known_words(dictionary, costs)
+    return pin(phrase_index(words.select("phrase"), size=size).join(words, "phrase"), "dictionary-index")
 
 
 def cheapest(runs: list[str], text: str, words: dict[str, int], costs: LatticeCosts) -> list[str]:
@@ -108,14 +115,14 @@ def with_segments(
     """Add ``out``, the tokens of ``text`` by the dictionary; null for null, empty for a text
     without visible characters. All rows stay, and all columns but an earlier ``out``.
 
-    ``index`` is that of the dictionary, if it is at hand. Rows need no key: words are found
+    ``index`` is that of the dictionary, if it is at hand, with the costs it was made with. Rows need no key: words are found
     by a hash of the text, and rows with equal texts share them. A word that another text of
     the same hash contains does no harm, as the lattice takes what stands in the text.
     """
-    index = dictionary_index(dictionary) if index is None else index
-    found = candidates(df.select(text), text, index).distinct()
-    priced = found.join(known_words(dictionary, costs), "phrase")
-    per_text = priced.groupBy("digest").agg(F.collect_list(F.struct("phrase", "cost")).alias("_words"))
+    index = dictionary_index(dictionary, costs) if index is None else index
+    sizes = sorted(r.gram_size for r in index.select("gram_size").distinct().collect())  # at most GRAM numbers
+    found = text_grams(df, text, sizes or [GRAM]).join(index.select("gram", "phrase", "cost"), "gram")
+    per_text = found.groupBy("digest").agg(F.collect_set(F.struct("phrase", "cost")).alias("_words"))
     per_text = per_text.withColumnRenamed("digest", "_found")
     joined = df.withColumn("_digest", F.xxhash64(F.col(text))).join(per_text, F.col("_digest") == F.col("_found"), "left")
     return joined.withColumn(out, lattice_tokens(F.col(text), F.col("_words"), costs)).drop("_digest", "_found", "_words")
