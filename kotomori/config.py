@@ -137,6 +137,19 @@ class EscalationRules:
     approve_risk_below: float = 0.1
 
 
+# The automatic rules as policy documents write them.
+AUTO_CONDITIONS = (
+    (
+        "auto_escalate_to_critical",
+        (
+            "had_homoglyphs AND predicted_class == abusive_content",
+            "adversarial_risk_score > 0.6",
+            "abuse_patterns_found AND confidence > 0.8",
+        ),
+    ),
+    ("auto_approve", ("predicted_class == quality_risk AND confidence > 0.9 AND adversarial_risk_score < 0.1",)),
+)
+
 RISK = RiskWeights()
 CLEAN = CleanSettings()
 FEATURES = FeatureSettings()

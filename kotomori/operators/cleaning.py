@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from kotomori.config import CLEAN, RISK, CleanSettings, RiskWeights
@@ -36,6 +36,15 @@ def drop_report(df: DataFrame, text: str = "text", settings: CleanSettings = CLE
     )
 
 
+def clean_corpus_counted(df: DataFrame, text: str = "text", settings: CleanSettings = CLEAN) -> tuple[DataFrame, Observation]:
+    """:func:`clean_corpus` and what :func:`drop_report` counts, known once the frame has been
+    written as a whole: ``n_total``, ``n_dropped`` and ``n_kept`` of the observation's ``get``."""
+    seen = Observation()
+    empty = F.col("processed_text") == ""
+    counts = F.count(F.lit(1)).alias("n_total"), F.count_if(empty).alias("n_dropped"), F.count_if(~empty).alias("n_kept")
+    return with_processed_text(df, text, settings).observe(seen, *counts).where(~empty), seen
+
+
 def prepare(
     df: DataFrame,
     text: str = "text",

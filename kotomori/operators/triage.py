@@ -7,6 +7,9 @@ brings it in never multiplies rows, and picking a rule needs no shuffle.
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -108,6 +111,31 @@ def with_auto_rules(scored: DataFrame, tier: str = "severity_tier", rules: Escal
     )
 
 
+def condition_of(text: str) -> Column:
+    """A policy's condition as a column: SQL, in which class names need no quotes and the
+    risk and the phrases found go by the names that policies give them."""
+    named = re.sub(r"==\s*(\w+)", lambda m: f"= '{m[1]}'", text)
+    named = re.sub(r"\badversarial_risk_score\b", "risk", named)
+    return F.expr(re.sub(r"\babuse_patterns_found\b", "(size(abuse_patterns_found) > 0)", named))
+
+
+def with_policy_rules(scored: DataFrame, rules: DataFrame, tier: str = "severity_tier") -> DataFrame:
+    """As :func:`with_auto_rules`, by the rules of a scanned policy
+    (:func:`~kotomori.sources.policy.scan_auto_rules`), which go by their conditions.
+
+    A condition that is NULL for a row does not hold; of no rules none fires.
+    """
+    listed = rules.orderBy("action", "rule_no").collect()  # the rules of one policy document
+    named = {action: [r.condition for r in listed if r.action == action] for action in ("auto_escalate_to_critical", "auto_approve")}
+    fires = [F.when(condition_of(c), F.lit(c)) for c in named["auto_escalate_to_critical"]]
+    none = F.array().cast("array<string>")
+    fired = scored.withColumn("rules_fired", F.array_compact(F.array(*fires)) if fires else none)
+    escalated = F.size("rules_fired") > 0
+    approves = [F.coalesce(condition_of(c), F.lit(False)) for c in named["auto_approve"]]
+    approved = reduce(Column.__or__, approves, F.lit(False))
+    return fired.withColumn("auto_approved", approved & ~escalated).withColumn("final_tier", F.when(escalated, F.lit("CRITICAL")).otherwise(F.col(tier)))
+
+
 def tier_priority(tier: Column) -> Column:
     return F.array_position(F.array(*[F.lit(t) for t in QUEUE_ORDER]), tier)
 

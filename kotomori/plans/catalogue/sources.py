@@ -6,7 +6,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from kotomori.config import RISK, TAXONOMY
+from kotomori.config import AUTO_CONDITIONS, RISK, TAXONOMY
 from kotomori.functions.evasion import SIGNALS as SIGNAL_COLUMNS
 from kotomori.operators import metrics as M
 from kotomori.operators import triage as G
@@ -14,11 +14,12 @@ from kotomori.operators.features import TfidfModel
 from kotomori.operators.splits import stratified_split
 from kotomori.plans.catalogue.base import JUDGED, ORACLES, SCORED, documents, judged, labelled, quoted, register, scored, sql_name
 from kotomori.plans.catalogue.features import SQL_UNION
-from kotomori.plans.catalogue.triage import SQL_TAXONOMY, SQL_TIER_POLICY, TIERED, records
+from kotomori.plans.catalogue.triage import AUTO, SQL_TAXONOMY, SQL_TIER_POLICY, TIERED, records
 from kotomori.plans.scoring import documented_records, prediction_records
 from kotomori.session import shared_folder
 from kotomori.sources import corpus, policy, sinks
 
+RULE_TEXTS = dict(AUTO_CONDITIONS)["auto_escalate_to_critical"]
 CORPUS_SQL = f"""SELECT doc_id AS id, text, {sql_name('(CASE WHEN toxic = 1 THEN 0 WHEN quality = 0 THEN 2 ELSE 1 END)')} AS label
 FROM documents JOIN labels USING (doc_id)"""
 
@@ -118,6 +119,30 @@ def scan_tier_policy(spark, sf):
     return rows.select("doc_id", "predicted_class", "confidence", "policy_tier")
 
 
+@register(
+    "scan_auto_rules",
+    f"""WITH {AUTO} SELECT doc_id, len(fired) AS n_fired, array_to_string(list_transform(fired, lambda f: CASE f
+  WHEN 'homoglyph_abuse' THEN '{RULE_TEXTS[0]}' WHEN 'high_risk' THEN '{RULE_TEXTS[1]}' ELSE '{RULE_TEXTS[2]}' END), ',') AS rules_fired,
+  auto_approved, final_tier FROM auto""",
+)
+def scan_auto_rules(spark, sf):
+    rules = policy.scan_auto_rules(spark, _written(spark, "tiers", policy.policy_documents()[1]))
+    rows = G.with_policy_rules(records(spark, sf), rules)
+    return rows.select("doc_id", F.size("rules_fired").alias("n_fired"), F.array_join("rules_fired", ",").alias("rules_fired"), "auto_approved", "final_tier")
+
+
+@register(
+    "sink_predictions_counted",
+    f"""WITH {TIERED} SELECT count(*) AS n, count(*) FILTER (escalate_to_human) AS n_escalated,
+  count(*) FILTER (round(risk, 3) > {RISK.high}::DOUBLE) AS n_high FROM records""",
+)
+def sink_predictions_counted(spark, sf):
+    """Counts of the records from the pass that writes them."""
+    path = shared_folder(spark, "predictions")
+    seen = sinks.write_counted(prediction_rows(spark, sf), lambda df: sinks.sink_predictions_json(df, path, by_tier=True), **sinks.record_counts(RISK.high))
+    return spark.range(1).select(*[F.lit(n).cast("long").alias(name) for name, n in seen.items()])
+
+
 # ---- a policy that differs from the built-in one in all it says --------------
 
 OWN_TIERS = (("LOW", "drop", 11), ("CRITICAL", "call", 7), ("MEDIUM", "wait", 500), ("HIGH", "look", 90))

@@ -6,10 +6,11 @@ from pyspark.sql import functions as F
 
 from kotomori.config import STOPWORDS, CleanSettings
 from kotomori.functions import text as X
-from kotomori.operators.cleaning import clean_corpus, drop_report, lemmatise
+from kotomori.operators.cleaning import clean_corpus, clean_corpus_counted, drop_report, lemmatise
 from kotomori.operators.segment import with_segments
 from kotomori.plans.catalogue.base import (
     EVADED,
+    ORACLES,
     SQL_NON_SPACE,
     SQL_SPACES,
     WIDENED,
@@ -19,7 +20,7 @@ from kotomori.plans.catalogue.base import (
     register,
     table,
 )
-from kotomori.session import pin
+from kotomori.session import pin, shared_folder
 
 RUNS = X.SCRIPT_RUN
 SQL_URL = X.URL
@@ -139,6 +140,16 @@ def drop_report_query(spark, sf):
     return drop_report(turns.select("text").unionByName(blank))
 
 
+# the same turns, counted while the clean ones are written
+@register("drop_report_written", ORACLES["drop_report"])
+def drop_report_written(spark, sf):
+    turns = table(spark, sf, "conversations")
+    blank = turns.where("role = 'user'").select(F.lit(" 　 ").alias("text"))
+    kept, seen = clean_corpus_counted(turns.select("text").unionByName(blank))
+    kept.write.parquet(shared_folder(spark, "cleaned"))
+    return spark.range(1).select(*[F.lit(n).cast("long").alias(name) for name, n in seen.get.items()])
+
+
 # lemma table: every word that occurs with and without a final "s"
 @register(
     "lemmatise",

@@ -7,7 +7,7 @@ import json
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kotomori.config import LABELS, TAXONOMY, TIER_ACTIONS, TIER_RULES
+from kotomori.config import AUTO_CONDITIONS, LABELS, TAXONOMY, TIER_ACTIONS, TIER_RULES
 from kotomori.operators.triage import QUEUE_ORDER, default_severity
 
 _CATEGORY = (
@@ -79,6 +79,14 @@ def scan_tier_policy(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def scan_auto_rules(spark: SparkSession, path: str) -> DataFrame:
+    """``(action, rule_no, condition)`` of the policy's automatic rules, a row for each; a policy
+    without such rules gives no rows."""
+    schema = "escalation_rules map<string,array<string>>"
+    actions = _document(spark, path, schema).select(F.explode("escalation_rules").alias("action", "conditions"))
+    return actions.select("action", F.posexplode("conditions").alias("rule_no", "condition")).where("condition IS NOT NULL")
+
+
 def _literal_rows(spark: SparkSession, rows: list[dict[str, Column]]) -> DataFrame:
     cells = [F.struct(*[c.alias(n) for n, c in row.items()]) for row in rows]
     return spark.range(1).select(F.inline(F.array(*cells)))
@@ -142,6 +150,7 @@ def policy_documents() -> tuple[str, str]:
             }
             for tier, action, minutes in TIER_ACTIONS
         },
+        "escalation_rules": {action: list(conditions) for action, conditions in AUTO_CONDITIONS},
         "review_queue_priority": list(QUEUE_ORDER),
     }
     return (

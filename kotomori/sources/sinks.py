@@ -2,10 +2,32 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
+def write_counted(df: DataFrame, write: Callable[[DataFrame], None], **counts: Column) -> dict:
+    """``write(df)``, and the aggregates ``counts`` over its rows from the same pass.
+
+    ``write`` must run one job over the whole frame, as the sinks of this module do. What it
+    does behind the frame (folders by tier, file formats) plays no part in the counts.
+    """
+    seen = Observation()
+    write(df.observe(seen, *[c.alias(name) for name, c in counts.items()]))
+    return seen.get
+
+
+def record_counts(risk: float) -> dict[str, Column]:
+    """Counts of prediction records: all, escalated, and of a risk above ``risk``."""
+    return {
+        "n": F.count(F.lit(1)),
+        "n_escalated": F.count_if("escalate_to_human"),
+        "n_high": F.count_if(F.col("adversarial_risk_score") > risk),
+    }
+
+
 def sink_predictions_json(records: DataFrame, path: str, by_tier: bool = False, mode: str = "error") -> None:
     """JSON lines, UTF-8, one folder per severity tier on request."""
     writer = records.write.mode(mode).option("ignoreNullFields", False)
