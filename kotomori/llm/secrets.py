@@ -44,6 +44,40 @@ KINDS = ("assign", "access", "hex", "identifier", "value", "endpoint")
 #: What a kind can be part of: an identifier, a secret or an endpoint.
 ROLES = (1, 0, 1, 0, 1, 2)
 SPANS = "array<struct<start:int,kind:int,end:int>>"
+#: Items of an array that are worked on at a time.
+BLOCK = 256
+
+
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` evaluated once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def blocks(items: Column) -> Column:
+    """A non-empty array in blocks of ``BLOCK``, the last one shorter."""
+    return let(items, lambda all_: F.transform(F.sequence(F.lit(0), F.floor((F.size(all_) - 1) / BLOCK).cast("int")), lambda b: F.slice(all_, b * BLOCK + 1, BLOCK)))
+
+
+def scanned(items: Column, kind: str, first: Column, total, step) -> Column:
+    """``step(before, item)`` for each item of a non-empty array, where ``before`` is
+    ``first`` combined by ``total`` with all items that stand before it.
+
+    An array that is grown by one is copied each time. Here only arrays of a block, and
+    one of block heads, are grown, so long arrays do not cost their square.
+    """
+    none = F.array().cast(f"array<{kind}>")
+
+    def befores(part: Column, start: Column) -> Column:
+        grow = lambda at, x: F.struct(total(at["at"], x).alias("at"), F.array_append(at["all"], at["at"]).alias("all"))
+        return F.aggregate(part, F.struct(start.cast(kind).alias("at"), none.alias("all")), grow, lambda at: at["all"])
+
+    def over(parts: Column) -> Column:
+        # What a block adds to any start is found from its items alone; heads follow from these.
+        ends = lambda at, part: F.struct(F.aggregate(part, at["at"], total).alias("at"), F.array_append(at["all"], at["at"]).alias("all"))
+        heads = F.aggregate(parts, F.struct(first.cast(kind).alias("at"), none.alias("all")), ends, lambda at: at["all"])
+        return F.flatten(F.zip_with(parts, heads, lambda part, head: F.zip_with(befores(part, head), part, step)))
+
+    return let(blocks(items), over)
 
 
 def found(text: Column, pattern: str, kind: int, keep=None) -> Column:
@@ -52,15 +86,15 @@ def found(text: Column, pattern: str, kind: int, keep=None) -> Column:
     The text between matches and the matches, in turn, give the positions.
     """
     p = F.lit(pattern)
-    pieces = F.zip_with(F.split(text, p, -1), F.regexp_extract_all(text, p, F.lit(0)), lambda gap, m: F.struct(F.length(gap).alias("gap"), m.alias("m")))
     keep = keep or (lambda m: F.lit(True))
-    step = lambda at, x: F.struct(
-        (at["at"] + x["gap"] + F.length(x["m"])).alias("at"),
-        F.when(keep(x["m"]), F.array_append(at["spans"], F.struct((at["at"] + x["gap"]).alias("start"), F.lit(kind).alias("kind"), (at["at"] + x["gap"] + F.length(x["m"])).alias("end")))).otherwise(at["spans"]).cast(SPANS).alias("spans"),
-    )
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(SPANS).alias("spans"))
-    spans = F.aggregate(F.filter(pieces, lambda x: x["m"].isNotNull()), start, step, lambda at: at["spans"])
-    return F.when(text.rlike(pattern), spans).otherwise(F.array().cast(SPANS))
+    matches = F.regexp_extract_all(text, p, F.lit(0))
+    piece = lambda gap, m: F.struct(F.length(gap).alias("gap"), F.length(m).alias("size"), keep(m).alias("kept"))
+    # The gap behind the last match belongs to no match.
+    pieces = F.filter(F.zip_with(F.split(text, p, -1), matches, piece), lambda x: x["size"].isNotNull())
+    span = lambda at, x: F.struct((at + x["gap"]).alias("start"), F.lit(kind).alias("kind"), (at + x["gap"] + x["size"]).alias("end"), x["kept"].alias("kept"))
+    spans = scanned(pieces, "int", F.lit(0), lambda at, x: at + x["gap"] + x["size"], span)
+    spans = F.transform(F.filter(spans, lambda s: s["kept"]), lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")))
+    return F.when(text.rlike(pattern), spans.cast(SPANS)).otherwise(F.array().cast(SPANS))
 
 
 def listed(spans: Column) -> Column:
@@ -108,29 +142,46 @@ def find_secrets(docs: DataFrame, settings: SecretSettings, key: str = "doc_id",
 
 
 def merged(spans: Column) -> Column:
-    """Spans in order, overlapping ones as one."""
-    none = F.array().cast("array<struct<start:int,end:int>>")
+    """A non-empty array of spans in order, overlapping ones as one ``(start, end)``.
+
+    A span opens a new one if it starts where all before it have ended, and the new one
+    ends where those before the next opening end.
+    """
+    mark = lambda reach, s: F.struct(s["start"].alias("start"), reach.alias("reach"))
+    marks = scanned(F.sort_array(spans), "int", F.lit(-1), lambda reach, s: F.greatest(reach, s["end"]), mark)
+    last = F.array_max(F.transform(spans, lambda s: s["end"]))
 
-    def add(done: Column, s: Column) -> Column:
-        last = F.element_at(done, -1)
-        grown = F.struct(last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end"))
-        fresh = F.array_append(done, F.struct(s["start"].alias("start"), s["end"].alias("end")))
-        return F.when(F.size(done) == 0, fresh).when(last["end"] > s["start"], F.array_append(F.slice(done, 1, F.size(done) - 1), grown)).otherwise(fresh).cast("array<struct<start:int,end:int>>")
+    def closed(opening: Column) -> Column:
+        ends = F.array_append(F.transform(F.slice(opening, 2, F.size(opening)), lambda m: m["reach"]), last)
+        return F.zip_with(opening, ends, lambda m, end: F.struct(m["start"].alias("start"), end.alias("end")))
 
-    return F.aggregate(F.sort_array(spans), none, add)
+    return let(F.filter(marks, lambda m: m["start"] >= m["reach"]), closed)
 
 
 def redacted(text: Column, spans: Column, mark: str = "[secret]") -> Column:
-    """``text`` with ``mark`` in place of each span."""
-    step = lambda at, s: F.struct(s["end"].alias("at"), F.concat(at["out"], F.substr(text, at["at"] + 1, s["start"] - at["at"]), F.lit(mark)).alias("out"))
-    return F.aggregate(merged(spans), F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step, lambda at: F.concat(at["out"], F.substr(text, at["at"] + 1)))
+    """``text`` with ``mark`` in place of each span, of which there is one at least.
+
+    A block of spans takes its stretch of the text first, and its gaps from that.
+    """
+    def gaps(apart: Column) -> Column:
+        # What stays: up to the first span, between neighbours, and behind the last.
+        starts = F.array_prepend(F.transform(apart, lambda s: s["end"]), F.lit(0))
+        ends = F.array_append(F.transform(apart, lambda s: s["start"]), F.length(text))
+        return F.zip_with(starts, ends, lambda a, b: F.struct(a.alias("start"), b.alias("end"))).cast("array<struct<start:int,end:int>>")
+
+    def cut(part: Column) -> Column:
+        low, high = F.get(part, F.lit(0))["start"], F.element_at(part, -1)["end"]
+        return let(F.struct(low.alias("low"), F.substr(text, low + 1, high - low).alias("t")), lambda x: F.transform(part, lambda g: F.substr(x["t"], g["start"] - x["low"] + 1, g["end"] - g["start"])))
+
+    return F.array_join(F.flatten(F.transform(blocks(let(merged(spans), gaps)), cut)), mark)
 
 
 def redact(docs: DataFrame, settings: SecretSettings, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with all secrets replaced in ``text``; every row and column stays.
 
     Only rows with spans meet the spans; the others, found by the same patterns to have no
-    part at all, pass by without a shuffle. Null texts stay null.
+    part at all, pass by without a shuffle. Null texts stay null, an empty table stays
+    empty, repeated rows are replaced alike, and other columns may have any names.
     """
     column = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     may = F.lit(False)
@@ -138,10 +189,13 @@ def redact(docs: DataFrame, settings: SecretSettings, key: str = "doc_id", text:
         may = may | column.rlike(pattern)  # linked parts need a secret, so a value or one of these
     may = may | column.rlike(VALUE)
     spans = find_secrets(docs.where(may), settings, key, text).where((F.size("base") > 0) | (F.size("linked") > 0))
-    spans = spans.select(F.col(key).alias("_key"), F.col("digest").alias("_digest"), F.concat("base", "linked").alias("_spans")).dropDuplicates(["_key", "_digest"])
-    mine = docs.where(may).withColumn("_own", F.xxhash64(column))
-    joined = mine.join(spans, F.col(f"`{key}`").eqNullSafe(F.col("_key")) & (F.col("_own") == F.col("_digest")), "left")
-    clean = F.when(F.col("_spans").isNotNull(), redacted(F.col(f"`{text}`"), F.col("_spans"))).otherwise(F.col(f"`{text}`"))
+    own = "own"  # names of helper columns, made longer until no column of ``docs`` begins with them
+    while any(c.lower().startswith(own) for c in docs.columns):
+        own += "_"
+    spans = spans.select(F.col(f"`{key}`").alias(f"{own}key"), F.col("digest").alias(f"{own}digest"), F.concat("base", "linked").alias(f"{own}spans")).dropDuplicates([f"{own}key", f"{own}digest"])
+    mine = docs.where(may).withColumn(own, F.xxhash64(column))
+    joined = mine.join(spans, F.col(f"`{key}`").eqNullSafe(F.col(f"{own}key")) & (F.col(own) == F.col(f"{own}digest")), "left")
+    clean = F.when(F.col(f"{own}spans").isNotNull(), redacted(F.col(f"`{text}`"), F.col(f"{own}spans"))).otherwise(F.col(f"`{text}`"))
     return joined.withColumn(text, clean).select(*[f"`{c}`" for c in docs.columns]).unionByName(docs.where(~may))
 
 
