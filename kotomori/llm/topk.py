@@ -5,7 +5,8 @@ one shard, a sub-matrix at a time, and keeps the best ``k`` of each query in the
 (partial selection by the k-th score, ties by id). The lists of a query are then merged
 ``fan`` at a time, level by level, so that no task sees more than ``fan`` lists a query.
 
-Scores are whole numbers. Matrix products in double precision are exact while no sum can
+Every shard is sent to every tile, so matrices travel as the shortest whole numbers that
+hold their components, and a tile is as large as a shard. Scores are whole numbers. Matrix products in double precision are exact while no sum can
 reach 2^53, which is checked for each product; beyond that the product is made with
 Python's integers.
 """
@@ -28,9 +29,10 @@ from kotomori.session import pin
 class SearchSettings:
     k: int = 20
     #: Components in a tile of queries and in a shard of candidates, on average.
-    tile: int = 1 << 16
+    tile: int = 1 << 19
     shard: int = 1 << 19
-    #: Candidates multiplied at a time.
+    #: Queries and candidates multiplied at a time.
+    rows: int = 1024
     block: int = 2048
     #: Lists of a query that are merged at a time.
     fan: int = 8
@@ -84,6 +86,18 @@ def arrays_of(row) -> tuple[np.ndarray, ...]:
     return tuple(np.frombuffer(x, dtype="<i8") for x in (row.query, row.query_id, row.vec_id, row.vec, row.score))
 
 
+def narrow(matrix: np.ndarray) -> np.ndarray:
+    """The whole numbers of ``matrix`` in the shortest type that holds them all."""
+    reach = np.abs(matrix).max(initial=0)
+    return matrix.astype(next((t for t in ("<i1", "<i2", "<i4") if reach <= np.iinfo(t).max), "<f8"))
+
+
+def wide(matrix: bytes, n: int, width: int) -> np.ndarray:
+    """What ``narrow`` was given, of ``n`` rows: the size of an entry tells its type."""
+    kind = {1: "<i1", 2: "<i2", 4: "<i4"}.get(len(matrix) // max(1, n * width), "<f8")
+    return np.frombuffer(matrix, dtype=kind).reshape(n, width).astype(np.float64)
+
+
 def packed(vectors: DataFrame, group: str, width: int) -> DataFrame:
     """``(group, ids, rows, matrix)``: the vectors of each group, by id, as one matrix."""
 
@@ -92,7 +106,7 @@ def packed(vectors: DataFrame, group: str, width: int) -> DataFrame:
         matrix = np.zeros((len(part), width))
         for i, v in enumerate(part["v"]):
             matrix[i, : len(v)] = v
-        return pd.DataFrame({group: [part[group].iloc[0]], "ids": [part["id"].to_numpy("<i8").tobytes()], "rows": [part["row"].to_numpy("<i8").tobytes()], "matrix": [matrix.tobytes()]})
+        return pd.DataFrame({group: [part[group].iloc[0]], "ids": [part["id"].to_numpy("<i8").tobytes()], "rows": [part["row"].to_numpy("<i8").tobytes()], "matrix": [narrow(matrix).tobytes()]})
 
     return vectors.groupBy(group).applyInPandas(pack, f"{group} int, ids binary, rows binary, matrix binary")
 
@@ -131,18 +145,21 @@ def top_k(vectors: DataFrame, is_query: Column, settings: SearchSettings, key: s
         for batch in batches:
             for r in batch.itertuples():
                 ids, places, q_ids, q_places = (np.frombuffer(x, dtype="<i8") for x in (r.ids, r.rows, r.q_ids, r.q_rows))
-                a = np.frombuffer(r.q_matrix).reshape(len(q_ids), width)
-                b = np.frombuffer(r.matrix).reshape(len(ids), width)
-                held = [np.empty(0, np.int64)] * 4
-                for start in range(0, len(ids), settings.block):
-                    part = slice(start, start + settings.block)
-                    scores = multiply(a, b[part])
-                    q, c = np.nonzero(best_of_block(scores, q_places[:, None] == places[None, part], settings.k))
-                    found = (q, ids[part][c], places[part][c], scores[q, c].astype(np.int64))
-                    held = [np.concatenate(x) for x in zip(held, found)]
-                    best = keep_best(*held, settings.k)
-                    held = [x[best] for x in held]
-                q, found_ids, found_rows, score = held
+                a, b = wide(r.q_matrix, len(q_ids), width), wide(r.matrix, len(ids), width)
+                kept = []
+                for first in range(0, len(q_ids), settings.rows):
+                    mine = slice(first, first + settings.rows)
+                    held = [np.empty(0, np.int64)] * 4
+                    for start in range(0, len(ids), settings.block):
+                        part = slice(start, start + settings.block)
+                        scores = multiply(a[mine], b[part])
+                        q, c = np.nonzero(best_of_block(scores, q_places[mine, None] == places[None, part], settings.k))
+                        found = (q + first, ids[part][c], places[part][c], scores[q, c].astype(np.int64))
+                        held = [np.concatenate(x) for x in zip(held, found)]
+                        best = keep_best(*held, settings.k)
+                        held = [x[best] for x in held]
+                    kept.append(held)
+                q, found_ids, found_rows, score = (np.concatenate(x) for x in zip(*kept))
                 yield pd.DataFrame([lists_row(r.tile, r.shard, q_places[q], q_ids[q], found_ids, found_rows, score)])
 
     def merge(part: pd.DataFrame) -> pd.DataFrame:

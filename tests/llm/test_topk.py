@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from kotomori.llm.topk import SearchSettings, best_of_block, op9_exact_top_k, top_k
 
-SMALL = SearchSettings(k=5, tile=64, shard=128, block=7, fan=2)
+SMALL = SearchSettings(k=5, tile=64, shard=128, rows=4, block=7, fan=2)
 
 
 def plain(rows, k, step):
