@@ -1,8 +1,10 @@
 """Chat formatting: roles of transcript lines by a hidden Markov model.
 
 A transcript is a sequence of rows, each with one or more lines. A line's features (its
-speaker marker, whether it follows a blank line, ends as a question, is short, ...) make
-one symbol, and the hidden state is the role that speaks. Viterbi search over the whole
+speaker marker, ends as a question, is short, ...) make one symbol, and the hidden state
+is the role that speaks. A name counts as a speaker marker where speakers are announced:
+on the first line of a row, behind a blank line, or in a row that was opened by a marker
+of the same set of names. Elsewhere it is a word in a list, a heading or a quotation. Viterbi search over the whole
 transcript gives the roles, and lines are rendered as canonical turns.
 
 Viterbi steps are products in the algebra of maximum and sum, which can be bracketed at
@@ -36,19 +38,29 @@ MARKERS = {
     "user": 1, "human": 1, "customer": 1, "question": 1, "q": 1, "me": 1, "prompt": 1, "student": 1,
     "assistant": 2, "ai": 2, "bot": 2, "agent": 2, "answer": 2, "a": 2, "model": 2, "response": 2, "teacher": 2,
 }
-MARKER = re.compile(r"^\s*(?:[#>*\-\[<|(]{0,4}\s*)(" + "|".join(sorted(MARKERS, key=len, reverse=True)) + r")\s*(?:[\])>|*]{0,4})\s*(?::|-{1,2}>|\||\n|$)\s*(?:\*{1,2}\s*)?", re.IGNORECASE)
+MARKER = re.compile(
+    r"^\s*(?P<open>[#>*\-\[<|(]{0,4})\s*(?P<name>" + "|".join(sorted(MARKERS, key=len, reverse=True)) + r")\s*(?P<close>[\])>|*]{0,4})\s*(?P<mark>:|-{1,2}>|\||\n|$)\s*(?:\*{1,2}\s*)?",
+    re.IGNORECASE,
+)
+# Names that are used together.
+SETS = (
+    {"system", "sys", "user", "assistant"}, {"human", "ai", "assistant", "system"}, {"q", "a"}, {"question", "answer", "context"},
+    {"instruction", "instructions", "prompt", "response", "context"}, {"customer", "agent"}, {"student", "teacher"}, {"user", "model", "bot", "system"}, {"me", "bot", "ai"},
+)
 
 
 @dataclass(frozen=True)
 class ChatSettings:
-    #: Role probabilities before the first line.
-    start: tuple[float, ...] = (0.2, 0.7, 0.1)
+    #: Role probabilities of what stands before the first row, from which that row is one step on.
+    start: tuple[float, ...] = (0.6, 0.05, 0.35)
     #: Role -> role between a row's lines, and from one row to the next.
     within: tuple[tuple[float, ...], ...] = ((0.98, 0.01, 0.01), (0.01, 0.97, 0.02), (0.01, 0.02, 0.97))
     between: tuple[tuple[float, ...], ...] = ((0.1, 0.85, 0.05), (0.01, 0.09, 0.9), (0.01, 0.9, 0.09))
+    #: How likely another role is on a blank line, or on the one below a marker on a line of its own.
+    passed: float = 1e-3
     #: How likely a marker of a role is on a line of that role, and on another's.
     marked: float = 0.6
-    mismarked: float = 0.002
+    mismarked: float = 2e-5
     #: Share of lines of each role that end as a question, are short, and open with an instruction.
     question: tuple[float, ...] = (0.02, 0.45, 0.1)
     short: tuple[float, ...] = (0.4, 0.4, 0.2)
@@ -61,12 +73,23 @@ class ChatSettings:
 TOLD = re.compile(r"^\s*(?:you are|you must|always|never|do not|respond|reply|act as)\b", re.IGNORECASE)
 
 
-def emission(line: str, settings: ChatSettings) -> tuple[np.ndarray, str, int | None]:
-    """Log likelihood of a line for each role, the line without its marker, and the
-    marker's role."""
-    marker = MARKER.match(line)
+def announces(marker: re.Match, first: re.Match | None, opens: bool, behind: bool) -> bool:
+    """Whether a name at the head of a line stands for a speaker: by its form, and by its
+    place (``opens``: first line of its row; ``behind``: after a blank line; ``first``: the
+    marker that opened the row)."""
+    colon = marker["mark"] in (":", "->", "-->")
+    tagged = marker["open"][-1:] in ("[", "<", "|", "(") and marker["close"][:1] in ("]", ">", "|", ")") and marker["close"] != ""
+    if opens:
+        return colon or tagged or marker["open"][:1] not in ("-", "*", "|")
+    alike = first is not None and first["open"] == marker["open"] and any({first["name"].lower(), marker["name"].lower()} <= s for s in SETS)
+    return (colon or tagged) and (behind or alike)
+
+
+def emission(line: str, marker: re.Match | None, settings: ChatSettings) -> tuple[np.ndarray, str, int | None]:
+    """Log likelihood of a line for each role, the line without its speaker marker, and
+    the marker's role."""
     rest = line[marker.end() :] if marker else line
-    role = MARKERS[marker[1].lower()] if marker else None
+    role = MARKERS[marker["name"].lower()] if marker else None
     seen = np.zeros(len(ROLES))
     for r in range(len(ROLES)):
         p = (settings.marked if role == r else settings.mismarked) if marker else 1 - settings.marked
@@ -88,10 +111,17 @@ def chain(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 def steps(text: str, settings: ChatSettings) -> tuple[list[np.ndarray], list[Line]]:
     """The matrix of each line of a row (role before -> role of the line), and its words."""
     within, between = np.log(settings.within), np.log(settings.between)
-    matrices, lines = [], []
+    owed = np.log(np.where(np.eye(len(ROLES)) == 1, 1 - settings.passed, settings.passed / (len(ROLES) - 1)))
+    matrices, lines, first, behind, alone = [], [], None, False, False
     for i, line in enumerate(text.split("\n")):
-        seen, rest, role = emission(line, settings)
-        matrices.append((within if i else between) + seen[None])
+        marker = MARKER.match(line)
+        if marker and not announces(marker, first, i == 0, behind):
+            marker = None
+        if i == 0:
+            first = marker
+        behind = not line.strip()
+        seen, rest, role = emission(line, marker, settings)
+        matrices.append((between if not i else owed if alone or behind else within) + seen[None])
         alone = rest != line and not rest.strip() and "\n" in text  # a marker on a line of its own says nothing more
         lines.append((line, None if alone else rest, role))
     return matrices, lines
@@ -184,7 +214,8 @@ def format_chats(rows: DataFrame, settings: ChatSettings, conv: str = "conv_id",
     Rows of a transcript are ordered by ``turn``, then text; the texts in ``rendered``, put
     together in that order, are its canonical form. A null or empty text is one empty
     line. Rows with a null ``conv`` form one transcript, null turns come first; repeated
-    rows are spoken twice. Very long texts are one row each and are never cut.
+    rows are spoken twice. Very long texts are one row each and are never cut. An empty
+    table gives no rows, and other columns, of whatever names, are not read.
     """
     typed = rows.select(F.col(f"`{conv}`").alias("conv"), F.col(f"`{turn}`").alias("turn"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     named = typed.withColumn("name", F.to_json(F.struct("conv"))).withColumn("tie", F.xxhash64("text"))  # a name for a key of any type, null too

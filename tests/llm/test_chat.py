@@ -4,7 +4,7 @@ from itertools import product
 
 import numpy as np
 
-from kotomori.llm.chat import ROLES, ChatSettings, as_transcript, best_path, format_chats, op1_chat, steps
+from kotomori.llm.chat import ROLES, ChatSettings, as_transcript, best_path, format_chats, op1_chat, rendered, steps
 from tests.llm.rows import LONG
 
 SCHEMA = "conv_id long, turn long, role string, text string, name int, block string"
@@ -56,10 +56,35 @@ def test_canonical_turns(spark):
 def test_marker_words_inside_a_turn_stay(spark):
     inner = ["# Context", "- answer", "| model | size |", "Response: 200", "plain"]
     df = rows_of(spark, [(1, 0, None, "User: how does it look?"), (1, 1, None, "AI: like this\n" + "\n".join(inner))])
-    said = "".join(r.rendered for r in sorted(format_chats(df, ChatSettings(mismarked=0.5)).collect(), key=lambda r: r.turn))
+    said = "".join(r.rendered for r in sorted(format_chats(df, ChatSettings()).collect(), key=lambda r: r.turn))
     assert said == "<|user|>\nhow does it look?\n<|end|>\n<|assistant|>\nlike this\n" + "\n".join(inner) + "\n<|end|>\n"
 
 
+def spoken(texts):
+    parsed = [steps(t, ChatSettings()) for t in texts]
+    roles = whole(texts, ChatSettings())
+    out, at, previous = "", 0, -1
+    for i, (_, lines) in enumerate(parsed):
+        mine = roles[at : at + len(lines)]
+        out += rendered(mine, lines, previous, closes=i + 1 == len(parsed))
+        previous, at = mine[-1], at + len(lines)
+    return out
+
+
+def test_lists_and_quotations_open_no_turn():
+    assert spoken(["Please compare these\n- answer\n- question\nand tell me more"]) == "<|user|>\nPlease compare these\n- answer\n- question\nand tell me more\n<|end|>\n"
+    assert spoken(["User: which one?\nA: first option\nQ: second option"]) == "<|user|>\nwhich one?\nA: first option\nQ: second option\n<|end|>\n"
+    assert spoken(["which one?\nA: first option\nB: second option"]) == "<|user|>\nwhich one?\nA: first option\nB: second option\n<|end|>\n"
+
+
+def test_turns_within_one_row():
+    want = "<|user|>\nwhy is it so?\n<|end|>\n<|assistant|>\nit is\n<|end|>\n<|user|>\nthanks\n<|end|>\n"
+    assert spoken(["Q: why is it so?\nA: it is\nQ: thanks"]) == want
+    assert spoken(["### User: why is it so?\n### Assistant: it is\n### User: thanks"]) == want
+    assert spoken(["<|user|>\nwhy is it so?\n<|assistant|>\nit is\n<|user|>\nthanks"]) == want
+    assert spoken(["why is it so?\n\nAI: it is\n\nHuman: thanks"]) == want.replace("so?\n", "so?\n\n").replace("is\n", "is\n\n")
+
+
 def test_awkward_rows(spark):
     df = rows_of(spark, [(1, 0, "user", None), (1, 0, "user", None), (None, 1, None, "User: a"), (None, None, None, ""), (3, 2**60 + 1, "x", LONG), (3, None, "x", "\n\n")])
     rows = format_chats(df, ChatSettings()).collect()
