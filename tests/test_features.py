@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from kotomori.config import FeatureSettings
+from kotomori.functions import grams as G
 from kotomori.functions.grams import char_ngrams, strip_accents, with_term_counts, inline_counts, word_tokens
 from kotomori.operators import features as FE
 from tests.strings import column_of, random_strings
@@ -154,3 +155,26 @@ def test_hashed_tfidf(spark, tmp_path):
     assert a.features.size == 100_000
     assert a.raw_features.numNonzeros() == len(set(DOCS[0].lower().split()))
     assert b.raw_features.numNonzeros() > a.raw_features.numNonzeros()
+
+
+@pytest.mark.parametrize(("block", "limits", "brute"), [("word", (1, 2), brute_words), ("char", (2, 4), brute_chars), ("char", (3, 5), lambda t: brute_chars(t, 3, 5))])
+def test_batches_count_as_rows_do(spark, monkeypatch, block, limits, brute):
+    """Across the cuts of a batch, with characters of two units, null characters and empty texts."""
+    monkeypatch.setattr(G, "BATCH_CHARS", 300)
+    texts = [*STRINGS[:200], "a\0b \0\0", "", "x" * 900, "𠮷𠮷 a𠮷", "é"]
+    made = column_of(spark, lambda c: G.spaced(c, block), texts)
+    got = [Counter() for _ in texts]
+    for start, end, row, term, tf in G.batch_counts([*made, None], block, *limits):
+        assert len(set(zip(row.tolist(), term.to_pylist()))) == len(row)
+        for i, t, n in zip(row.tolist(), term.to_pylist(), tf.tolist()):
+            assert start + i < end
+            got[start + i][t] += n
+    assert got == [Counter(brute(t)) for t in texts]
+
+
+def test_corpus_statistics_are_made_once_and_in_batches(spark):
+    """Neither a row a term of a document, nor a second pass for the histogram of the cap."""
+    stats = FE.doc_freq(frame(spark), "text", "char")
+    assert "Generate" not in stats._jdf.queryExecution().executedPlan().toString()
+    top = FE.vocab_topk(stats, 5)._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" not in top and "Scan parquet" in top
