@@ -123,8 +123,10 @@ def _flat(records):
 
 
 def _document_stream(spark, sf):
+    """The documents as a stream, whether their table is one file or a folder of files: a
+    pattern that only they match is taken for either."""
     schema = spark.read.parquet(f"{sf}/documents.parquet").schema
-    return read_stream(spark, sf, schema, file_filter="documents.parquet")
+    return read_stream(spark, f"{sf}/documents.parque[t]", schema)
 
 
 @register("stream_scores")

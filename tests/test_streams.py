@@ -6,6 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from kotomori.plans.catalogue import QUERIES
 from kotomori.streaming.rates import first_submissions, late_groups, windowed_rates
 from kotomori.streaming.scoring import read_stream, write_stream
 from kotomori.streaming.targets import breaches, breaches_so_far, target_events, use_timers
@@ -125,3 +126,15 @@ def test_breaches_equal_the_join_of_finished_tables(spark, tmp_path, seed):
     last = max(at for _, at in solved + [(i, at) for i, at, _ in sent if i is not None]) - dt.timedelta(minutes=1)
     plain = sorted(i for i, _, due in sent if i is not None and due is not None and due <= last and resolved.get(i, due + dt.timedelta(1)) > due)
     assert got == want and [i for i, _ in got] == plain and plain
+
+
+@pytest.mark.parametrize("files", [1, 3])
+def test_a_table_of_one_file_or_of_many_as_a_stream(spark, sf, tmp_path, files):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    if files == 1:
+        (tmp_path / "documents.parquet").write_bytes(open(f"{sf}/documents.parquet", "rb").read())
+    else:
+        docs.repartition(files).write.parquet(str(tmp_path / "documents.parquet"))
+    (tmp_path / "labels.parquet").write_bytes(open(f"{sf}/labels.parquet", "rb").read())
+    rows = QUERIES["stream_evasion"](spark, str(tmp_path))
+    assert sorted(r.doc_id for r in rows.collect()) == sorted(r.doc_id for r in docs.collect())
