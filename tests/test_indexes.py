@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from kotomori.config import DEFAULT_TIER, LABELS
-from kotomori.operators.lexicon import candidates, phrase_index, with_indexed_taxonomy, with_phrases
+from kotomori.operators.lexicon import candidates, phrase_index, text_grams, with_indexed_taxonomy, with_phrases
 from kotomori.operators.rules import DEPTH, intervals_between, intervals_of, with_indexed_policy_tier
 from kotomori.operators.triage import uncertain_by_class, with_policy_tier, with_taxonomy
 
@@ -49,6 +49,24 @@ def test_rare_grams_keep_candidates_few(spark, sf):
     assert found.count() == 300
 
 
+def test_phrases_of_common_grams_have_few_candidates(spark):
+    """Of phrases whose short grams are in every text, candidates are those that a text holds."""
+    rng = random.Random(8)
+    words = ["".join(rng.choice("abcde") for _ in range(4)) for _ in range(60)]
+    docs = spark.createDataFrame([(i, " ".join(rng.choice(words) for _ in range(300))) for i in range(40)], "id long, text string")
+    phrases = spark.createDataFrame([(" ".join(rng.sample(words, 3)),) for _ in range(300)], "phrase string")
+    index = phrase_index(phrases, docs)
+    assert candidates(docs, "text", index).count() < 0.2 * 40 * index.count()
+
+
+def test_grams_of_no_phrase_go_where_they_are_cut(spark):
+    docs = spark.createDataFrame([("abcdefgh" * 50 + "needle",), ("hay" * 99,), (None,), ("😀needle",)], "text string")
+    filed = phrase_index(spark.createDataFrame([("needle",), ("not there",)], "phrase string"))
+    found = text_grams(docs, "text", filed)
+    assert "Generate" not in found._jdf.queryExecution().executedPlan().toString()
+    assert found.count() == 2 and {r.phrase for r in candidates(docs, "text", filed).collect()} == {"needle"}
+
+
 def test_no_text_travels_with_its_grams(spark):
     docs = spark.createDataFrame([(1, "abc")], "id long, text string")
     plan = candidates(docs, "text", phrase_index(spark.createDataFrame([("abc",)], "phrase string")))._jdf.queryExecution().executedPlan().toString()

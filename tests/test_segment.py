@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from kotomori.functions.text import segment_tokens
+from kotomori.operators import segment
 from kotomori.operators.cleaning import clean_corpus, prepare
 from kotomori.operators.segment import LATTICE, dictionary_index, with_segments
 from kotomori.plans.catalogue import QUERIES
@@ -77,6 +78,25 @@ def test_random_dictionaries(spark):
         assert r.tokens == every_cut(runs[r.text], r.text, prices(words)), r.text
 
 
+@pytest.mark.parametrize("short", [0, 3, 10])
+def test_short_words_by_task_and_others_by_join(spark, monkeypatch, short):
+    """Wherever the bound of the words that tasks get falls, the cuts are the same."""
+    monkeypatch.setattr(segment, "SHORT", short)
+    df = spark.createDataFrame([(t,) for t in TEXTS if t], "text string")
+    runs = runs_of(spark, [t for t in TEXTS if t])
+    words = [*WORDS, ("abc abx ab", 1), ("カタカナ漢字かな", 3), ("都都都", 1)]
+    rows = with_segments(df, spark.createDataFrame(words, "word string, cost long")).collect()
+    assert all(r.tokens == every_cut(runs.get(r.text, []), r.text, prices(words)) for r in rows)
+
+
+def test_short_words_do_not_travel(spark):
+    """A text joins the long words it holds, not every short one."""
+    df = spark.createDataFrame([("abcdefghij" * 20,)], "text string")
+    words = spark.createDataFrame([("abcdefghij"[i:j], 5) for i in range(10) for j in range(i + 1, 11)], "word string, cost long")
+    plan = with_segments(df, words)._jdf.queryExecution().optimizedPlan().toString()
+    assert "char_length(phrase" in plan and "> 5" in plan
+
+
 def test_nothing_known(spark):
     df = spark.createDataFrame([("東京abc、x",)], "text string")
     none = spark.createDataFrame([], "word string, cost long")
