@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from kotomori.config import DEFAULT_TIER, LABELS
 from kotomori.operators.lexicon import candidates, phrase_index, text_grams, with_indexed_taxonomy, with_phrases
-from kotomori.operators.rules import DEPTH, intervals_between, intervals_of, with_indexed_policy_tier
+from kotomori.operators.rules import DEPTH, intervals_between, intervals_of, pinned_cells, with_indexed_policy_tier
 from kotomori.operators.triage import uncertain_by_class, with_policy_tier, with_taxonomy
 
 TEXTS = ["死ねクズ", "abcabcabd", "", None, "a", "ab", "😀死ね😀", "xyz abd 死", "aaaaaaaa", "aaaaaaaa", "the end."]
@@ -112,6 +112,18 @@ def test_indexed_policy_equals_the_folded_one(spark):
     assert {r.policy_tier for r in with_indexed_policy_tier(scored, policy.limit(0)).collect()} == {*DEFAULT_TIER, None}
 
 
+def test_covering_rules_leave_one_a_cell(spark):
+    """Ten thousand rules around the same points are few rows of the index."""
+    rows = [(i % 7, i, "HIGH", LABELS[0], 0.0 + i / 1e6, None if i % 2 else 0.2 + i / 1e7, 0.9) for i in range(10_000)]
+    policy = spark.createDataFrame(rows, "priority int, rule_no int, tier string, predicted_class string, risk_min double, conf_min double, conf_max double")
+    firsts = policy.withColumn("_rule", F.struct("priority", "rule_no", "tier"))
+    cells = pinned_cells(firsts)
+    assert cells.where("risk_min IS NULL AND conf_min IS NULL AND conf_max IS NULL").groupBy("_risk_cell", "_conf_cell").count().where("count > 1").isEmpty()
+    scored = spark.createDataFrame([(0, LABELS[0], 0.5, 0.5), (1, LABELS[0], 0.0045, 0.2004), (2, LABELS[0], 0.5, 0.9), (3, LABELS[0], 0.5, 0.91)], "id long, predicted_class string, risk double, confidence double")
+    got, want = with_indexed_policy_tier(scored, policy), with_policy_tier(scored, policy)
+    assert sorted(map(str, got.select(want.columns).collect())) == sorted(map(str, want.collect()))
+
+
 def test_uncertain_rows_are_limited_before_the_shuffle(spark):
     rng = random.Random(3)
     rows = [(i, LABELS[i % 7 % 3], sorted((rng.random() for _ in range(3)), reverse=True)) for i in range(2000)]
