@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 from kotomori.config import LEXICON, LOOKALIKE_FROM, LOOKALIKE_TO, RISK, RiskWeights
 from kotomori.functions.text import WORD_CHAR, nfkc
 
-# Java looks behind in whole code points only if the group names an astral one, so
-# a letter that the class covers anyway is written out.
-INSERTED_SYMBOL = rf"(?<={WORD_CHAR}|𠮷)[.·•*_\-|/\\](?={WORD_CHAR})"
+# The symbol comes first, so that only behind one the text around it is looked at. Java looks
+# behind in whole code points only if the group names an astral one, so a letter that the
+# class covers anyway is written out.
+SYMBOL = r"[.·•*_\-|/\\]"
+INSERTED_SYMBOL = rf"{SYMBOL}(?<=(?:{WORD_CHAR}|𠮷){SYMBOL})(?={WORD_CHAR})"
 LONG_RUN = r"(?d)(.)\1{2,}"
 JAPANESE = r"[\x{3040}-\x{30ff}\x{4e00}-\x{9fff}]"
 CYRILLIC = r"[\x{400}-\x{4ff}]"

@@ -60,6 +60,30 @@ def test_every_space_and_word_character(spark):
     assert words == {c for c in chars if re.match(r"\w", c)}
 
 
+def test_cleaning_equals_the_steps_one_by_one(spark):
+    """Stop words and spaces go at once, the text is read once by each step, and no character
+    is a match of its own."""
+    texts = [s + t for s in STRINGS[:300] for t in ("", " は\u3000死ねを <b>x</b> www.a.b/c d", "\x85から😀のhttp://")]
+    plain = [c for c in STOPWORDS if len(c) == 1]
+
+    def steps(s):
+        s = unicodedata.normalize("NFKC", s) if s.strip() else ""
+        s = re.sub(r"<[^>]+>", "", re.sub(r"https?://\S+|www\.\S+", "", s))
+        return " ".join(c for c in s if c.strip() and c not in plain)
+
+    assert column_of(spark, X.clean_text, texts) == [steps(s) for s in texts]
+    df = spark.createDataFrame([("x",)], "t string").select(X.clean_text(F.col("t")).alias("c"))
+    text = df._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("reflect(") == 1 and "regexp_extract_all" not in text
+
+
+def test_kinds_of_a_segment_share_no_character():
+    kinds = [re.compile(re.sub(r"\\x\{(\w+)\}", lambda m: rf"\U{int(m[1], 16):08x}", k)) for k in X.SCRIPT_RUN.split("|")]
+    assert len(kinds) == 7 and set(X.SCRIPT_RUN_LATIN_FIRST.split("|")) == set(X.SCRIPT_RUN.split("|"))
+    for c in map(chr, range(0x10000)):
+        assert sum(k.match(c) is not None for k in kinds[:-1]) <= 1 and (kinds[-1].match(c) or not any(k.match(c) for k in kinds[:-1]))
+
+
 def test_fixed_values():
     assert len(LOOKALIKE_FROM) == len(LOOKALIKE_TO) == len(set(LOOKALIKE_FROM)) == 28
     assert len(STOPWORDS) == len(set(STOPWORDS)) == 44
