@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -128,6 +129,35 @@ def test_breaches_equal_the_join_of_finished_tables(spark, tmp_path, seed):
     assert got == want and [i for i, _ in got] == plain and plain
 
 
+def test_states_travel_in_batches_and_due_times_are_met_exactly(spark, tmp_path):
+    """Calls are by bucket and not by key; a target passes when the watermark reaches it,
+    not before, whether the key is new in that batch or not."""
+    folder, base = str(tmp_path / "in"), str(tmp_path)
+    schema = "key long, kind string, at timestamp, at_ms long, due_ms long"
+
+    def event(key, kind, at, due=0):
+        return (key, kind, minute(at), ms(at), due and ms(due))
+
+    def ms(m):
+        return int(minute(m).replace(tzinfo=dt.timezone.utc).timestamp() * 1000)
+
+    first = [event(1, "submitted", 10, 30), event(2, "submitted", 10, 31), event(3, "submitted", 10, 30), event(4, "resolved", 11), event(6, "resolved", 28)]
+    second = [event(3, "resolved", 30), event(4, "submitted", 12, 20), event(7, "submitted", 31, 900), event(8, "submitted", 14, 15)]
+    third = [event(5, "submitted", 30, 30), event(6, "submitted", 30, 27), event(9, "submitted", 31, 900)]
+    for rows in (first, second, third):
+        add(spark, folder, rows, schema)
+    kept = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    try:
+        use_timers(spark)
+        stream = breaches(read_stream(spark, folder, spark.createDataFrame([], schema).schema, files_per_trigger=1), "1 minute")
+        grouped = re.search(r"FlatMapGroupsInPandasWithState .*?, \[(\w+)#", stream._jdf.queryExecution().analyzed().toString())
+        assert grouped and grouped[1] == "bucket"
+        _, out = run(spark, stream, base)  # the watermark ends at 30
+        assert sorted((r.key, r.due_ms) for r in out.collect()) == [(1, ms(30)), (5, ms(30)), (6, ms(27)), (8, ms(15))]
+    finally:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", kept)
+
+
 @pytest.mark.parametrize("files", [1, 3])
 def test_a_table_of_one_file_or_of_many_as_a_stream(spark, sf, tmp_path, files):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
