@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from kotomori.config import FOREST, FeatureSettings
 from kotomori.operators import classify as C
 from kotomori.operators.features import TfidfModel
+from kotomori.plans.catalogue import models
 from kotomori.plans.catalogue.base import documents, labelled
 from kotomori.plans.scoring import documented_records, prediction_records, score_corpus, score_rows
 from kotomori.plans.training import train
@@ -134,6 +135,28 @@ def test_refit_per_fold(spark, sf):
     assert len(got) == 2 and all(0 <= r.f1_macro <= 1 for r in got)
 
 
+def test_gradients_equal_the_sums_of_all_cells(spark):
+    """At the coefficients and at zero, by numpy over dense rows; the cells of a row never become
+    rows of a shuffle, only the sums of a task do."""
+    import numpy as np
+    from pyspark.ml.linalg import Vectors
+
+    rng = np.random.default_rng(3)
+    x = np.where(rng.random((90, 12)) < 0.3, rng.random((90, 12)), 0.0)
+    y = np.arange(90) % 3 * (np.arange(90) % 5 > 0)
+    x[:, 0] += y
+    rows = spark.createDataFrame([(i, int(y[i]), Vectors.sparse(12, np.flatnonzero(x[i]).tolist(), x[i][x[i] != 0].tolist())) for i in range(90)], ["id", "label_id", "features"])
+    model = C.fit(C.logistic_baseline(90), C.training_frame(rows, "id", 4))
+    lr = model.stages[-1]
+    weight = (90 / (3 * np.bincount(y)))[y][:, None]
+    z = x @ lr.coefficientMatrix.toArray().T + lr.interceptVector.toArray()
+    p = np.exp(z) / np.exp(z).sum(axis=1, keepdims=True)
+    at_end = x.T @ (weight * (p - np.eye(3)[y])) / 90 + lr.getRegParam() * lr.coefficientMatrix.toArray().T
+    at_zero = x.T @ (weight * (1 / 3 - np.eye(3)[y])) / 90
+    got = models.gradients(model, rows, 90)
+    assert got == pytest.approx((np.abs(at_end).max(), np.abs(at_zero).max()), rel=1e-6)
+
+
 def test_missing_columns_fail_early(spark):
     with pytest.raises(ValueError, match="label"):
         train(spark.range(1).withColumn("text", F.lit("x")))

@@ -103,6 +103,12 @@ def test_nothing_is_dealt_out_unless_asked(spark, sf):
         spark.conf.set(SPREAD, kept)
 
 
+def test_lemmas_cut_texts_once(spark, sf):
+    """Words, lemmas and rows come from the tokens that were written."""
+    text = QUERIES["lemmatise"](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_extract_all" not in text
+
+
 def test_metrics_analyse_labelled_documents_only(spark, sf):
     text = judged(spark, sf)._jdf.queryExecution().optimizedPlan().toString()
     assert text.index("reflect(") < text.index("Join Inner")  # the join is below the chain
