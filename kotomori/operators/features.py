@@ -138,19 +138,45 @@ def fit_vocabulary(df: DataFrame, text: str, settings: FeatureSettings = FEATURE
 
 
 def tfidf_long(df: DataFrame, key: str, text: str, vocab: DataFrame, block: str, settings: FeatureSettings = FEATURES) -> DataFrame:
-    """``(key, block, term_id, term, tf, weight)``, unit length per row and block.
+    """``(key, block, term_id, term, tf, weight)``, unit length per row and block; rows that share
+    a key share their length.
 
-    The vocabulary side has at most ``max_word_terms``/``max_char_terms`` rows, so that
-    Spark broadcasts it where its size allows.
+    The vocabulary has at most ``max_word_terms``/``max_char_terms`` rows, as many as go to
+    every task. Terms are counted by batch, and a document stays one row until its length is known.
     """
-    known = vocab.where(F.col("block") == block).select("block", "term", "term_id", "idf")
-    raw = (
-        document_terms(df, key, text, block, settings)
-        .join(known, "term")
-        .withColumn("raw", sublinear_tf(F.col("tf")) * F.col("idf"))
+    cap = settings.max_word_terms if block == "word" else settings.max_char_terms
+    local = vocab.where(F.col("block") == block).select("term", "term_id", "idf").limit(cap + 1).toPandas()
+    if len(local) > cap:
+        raise ValueError(f"vocabulary exceeds {cap} terms")
+    known = (local["term"].tolist(), local["term_id"].to_numpy(np.int32), local["idf"].to_numpy(np.float64))
+    shared = df.sparkSession.sparkContext.broadcast(known)
+    low, high = getattr(settings, f"{block}_ngrams")
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        terms, ids, idf = shared.value
+        terms = pa.array(terms, pa.string())
+        for batch in batches:
+            for start, end, row, term, tf in batch_counts(batch.column(1).to_pylist(), block, low, high):
+                at = pc.index_in(term, value_set=terms)
+                found = at.is_valid().to_numpy(zero_copy_only=False)
+                at, row, tf = at.drop_null().to_numpy(), row[found], tf[found]
+                order = np.lexsort((at, row))
+                at, row, tf = at[order], row[order], tf[order]
+                raw = (1.0 + np.log(tf)) * idf[at]
+                cells = pa.StructArray.from_arrays([pa.array(ids[at]), terms.take(pa.array(at)), pa.array(tf), pa.array(raw)], ["term_id", "term", "tf", "raw"])
+                n = np.bincount(row, minlength=end - start)
+                lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(n)).astype(np.int32)), cells)
+                squares = pa.array(np.bincount(row, weights=raw * raw, minlength=end - start).astype(np.float64))  # whole numbers without rows
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, end - start), lists, squares], ["key", "cells", "squares"])
+
+    texts = df.select(F.col(key).alias("key"), spaced(F.coalesce(F.col(text), F.lit("")), block).alias("_text"))
+    cell = "array<struct<term_id: int, term: string, tf: long, raw: double>>"
+    counted = texts.mapInArrow(count, f"key {texts.schema['key'].dataType.simpleString()}, cells {cell}, squares double")
+    norm = F.sqrt(F.sum("squares").over(Window.partitionBy("key")))
+    inlined = counted.withColumn("norm", norm).select("key", "norm", F.inline("cells"))
+    return inlined.select(
+        F.col("key").alias(key), F.lit(block).alias("block"), "term_id", "term", "tf", (F.col("raw") / F.col("norm")).alias("weight")
     )
-    norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(key)))
-    return raw.withColumn("weight", F.col("raw") / norm).drop("raw", "idf")
 
 
 class TfidfModel:

@@ -125,6 +125,25 @@ def test_vectors_equal_the_long_form_and_survive_a_round_trip(spark, tmp_path):
             assert r.features.values.tolist() == pytest.approx([want[i] for i in sorted(want)])
 
 
+def test_the_long_form_keeps_documents_whole_until_their_length_is_known(spark):
+    """Rows that share a key share their length, a key may be null, and documents, not cells, are
+    sorted by key."""
+    docs = [("a", "the cat"), ("a", "the the dog"), (None, "cat x"), ("b", None), ("c", "zzzz")]
+    df = spark.createDataFrame(docs, "id string, text string")
+    vocab = FE.vocabulary(frame(spark), "text", "word")
+    terms = {r.term: (r.term_id, r.idf) for r in vocab.collect()}
+    long = FE.tfidf_long(df, "id", "text", vocab, "word")
+    got = sorted(((r.id or "", r.term, r.tf, r.term_id, r.weight) for r in long.collect()), key=str)
+    cells = [(i or "", t, n, *terms[t]) for i, text in docs for t, n in Counter(brute_words(text or "")).items() if t in terms]
+    raw = [(*c, (1 + math.log(c[2])) * c[4]) for c in cells]
+    norm = {i: math.sqrt(sum(r[5] ** 2 for r in raw if r[0] == i)) for i, *_ in raw}
+    want = sorted(((i, t, n, at, w / norm[i]) for i, t, n, at, _, w in raw), key=str)
+    assert [g[:4] for g in got] == [w[:4] for w in want] and len({g[0] for g in got}) == 2
+    assert [g[4] for g in got] == pytest.approx([w[4] for w in want])
+    text = long._jdf.queryExecution().optimizedPlan().toString()
+    assert text.index("Generate inline") < text.index("Window")  # the window is below
+
+
 def test_unknown_terms_are_dropped(spark):
     model = FE.TfidfModel.fit(frame(spark), "text")
     row = model.transform(frame(spark, ["zzzz qqqq", None]), "text").orderBy("id").collect()
