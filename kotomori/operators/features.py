@@ -254,15 +254,13 @@ class TfidfModel:
 
 
 def matrix_shape(long: DataFrame, key: str) -> DataFrame:
-    """Rows, columns in use and non-zero cells of a long-form matrix.
-
-    Cells are first counted per (row, column) side, so neither distinct count
-    expands the input.
-    """
-    per_term = long.groupBy("block", "term_id").agg(F.count(F.lit(1)).alias("n"))
-    columns = per_term.agg(F.count(F.lit(1)).alias("n_cols"), F.sum("n").alias("nnz"))
-    rows = long.groupBy(key).agg(F.lit(1)).select(F.count(F.lit(1))).scalar()
-    return columns.select(rows.alias("n_rows"), "n_cols", "nnz")
+    """Rows, columns in use and non-zero cells of a long-form matrix, from one pass over its
+    cells: each task hands on what is distinct in it."""
+    return long.agg(
+        F.count_distinct(F.struct(key)).alias("n_rows"),
+        F.count_distinct(F.struct("block", "term_id")).alias("n_cols"),
+        F.sum(F.lit(1).cast("long")).alias("nnz"),
+    )
 
 
 def hashed_tfidf(

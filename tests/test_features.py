@@ -164,6 +164,15 @@ def test_matrix_shape(spark):
     assert FE.matrix_shape(cells, "id").first().asDict() == {"n_rows": 2, "n_cols": 2, "nnz": 3}
 
 
+def test_matrix_shape_makes_the_cells_once(spark):
+    df = frame(spark)
+    shape = FE.matrix_shape(FE.tfidf_long(df, "id", "text", FE.vocabulary(df, "text", "word"), "word"), "id")
+    assert shape._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    odd = spark.createDataFrame([(None, "word", 0), (None, "char", 0), (2, "word", None)], "id int, block string, term_id int")
+    assert FE.matrix_shape(odd, "id").first().asDict() == {"n_rows": 2, "n_cols": 3, "nnz": 3}
+    assert FE.matrix_shape(odd.where("false"), "id").first().asDict() == {"n_rows": 0, "n_cols": 0, "nnz": None}
+
+
 def test_hashed_tfidf(spark, tmp_path):
     df = frame(spark).withColumnRenamed("text", "processed_text")
     path = str(tmp_path / "hashed")
