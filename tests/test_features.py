@@ -206,3 +206,29 @@ def test_corpus_statistics_are_made_once_and_in_batches(spark):
     assert "Generate" not in stats._jdf.queryExecution().executedPlan().toString()
     top = FE.vocab_topk(stats, 5)._jdf.queryExecution().executedPlan().toString()
     assert "MapInArrow" not in top and "Scan parquet" in top
+
+
+@pytest.mark.parametrize(("block", "limits", "brute"), [("word", (1, 2), brute_words), ("char", (2, 4), brute_chars), ("char", (3, 5), lambda t: brute_chars(t, 3, 5))])
+def test_sums_of_a_batch_are_those_of_its_rows(spark, monkeypatch, block, limits, brute):
+    """Rows that end in the beginning of another's term, empty rows, characters of two units."""
+    monkeypatch.setattr(G, "BATCH_CHARS", 300)
+    texts = [*STRINGS[:200], "a b", "c", "", "", "b a", "a\0b \0\0", "x" * 900, "𠮷𠮷 a𠮷", "é"]
+    made = column_of(spark, lambda c: G.spaced(c, block), texts)
+    df, uses = Counter(), Counter()
+    for term, rows, tf in G.batch_sums([*made, None], block, *limits):
+        assert len(set(term.to_pylist())) == len(term)
+        for t, d, n in zip(term.to_pylist(), rows.tolist(), tf.tolist()):
+            df[t] += d
+            uses[t] += n
+    each = [Counter(brute(t)) for t in texts]
+    assert df == sum((Counter(c.keys()) for c in each), Counter()) and uses == sum(each, Counter())
+
+
+@pytest.mark.parametrize(("block", "brute"), [("word", brute_words), ("char", brute_chars)])
+def test_terms_of_a_corpus_are_summed_in_batches(spark, block, brute):
+    """All terms, without limits, and without a row a term of a document."""
+    found = FE.corpus_terms(frame(spark), "text", block)
+    assert "Generate" not in found._jdf.queryExecution().executedPlan().toString()
+    each = [Counter(brute(t)) for t in DOCS]
+    want = {t: (sum(t in c for c in each), sum(c[t] for c in each)) for c in each for t in c}
+    assert {r.term: (r.df, r.corpus_tf) for r in found.collect()} == want
