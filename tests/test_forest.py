@@ -77,3 +77,36 @@ def test_thresholds_count_zeros_that_are_not_listed():
     assert FO.thresholds(np.array([1.0, 3.0]), np.ones(2), 2.0, 31) == [2.0]
     many = FO.thresholds(np.arange(1000.0), np.ones(1000), 1000.0, 3)
     assert many == pytest.approx([250, 500, 750], abs=2)
+
+
+@pytest.mark.parametrize("dense", [0, 40, 1 << 26])
+@pytest.mark.parametrize("small, pairs", [(1, 1), (16, 200), (1 << 20, 1 << 20)])
+def test_nodes_split_together_are_those_split_one_by_one(monkeypatch, dense, small, pairs):
+    """Growth by level against one node after the other, by the histogram of each."""
+    rng = np.random.default_rng(6)
+    x, label, copies = rng.integers(0, 5, (150, 9)) * (rng.random((150, 9)) < 0.5), rng.integers(0, 3, 150), rng.poisson(1.0, 150)
+    growth = FO.Growth(3, np.array([1.5, 0.5, 2.0]), np.arange(10) * 4, np.tile([0.5, 1.5, 2.5, 3.5], 9), 1, 6, 2, 3)
+    index, value = np.nonzero(x)[1], x[x > 0].astype(float)
+    rows = FO.Rows(label, copies, (x > 0).sum(axis=1), index, growth.bins(index, value))
+    splits = {}
+
+    def grow(at, node):
+        counts = np.bincount(label[at], weights=copies[at], minlength=3).astype(np.int64)
+        if growth.ends(counts, node.bit_length() - 1):
+            return
+        features = growth.drawn(5, node)
+        best = growth.best(growth.histogram(rows, at, copies[at], features), features)
+        if best is not None:
+            f, b, gain = int(features[best[0]]), *best[1:]
+            splits[node] = f, b, gain
+            grow(at[x[at, f] <= b], 2 * node)
+            grow(at[x[at, f] > b], 2 * node + 1)
+
+    grow(np.flatnonzero(copies), 1)
+    seen = {}
+    for name, n in (("DENSE", dense), ("SMALL", small), ("PAIRS", pairs)):
+        monkeypatch.setattr(FO, name, n)
+    monkeypatch.setattr(FO.Growth, "listed", lambda self, root, counts, found: seen.update(found) or [])
+    growth.grown(rows, 5, 1)
+    assert len(seen) > 20 and {k: v[:2] for k, v in seen.items()} == {k: v[:2] for k, v in splits.items()}
+    assert all(seen[k][2] == pytest.approx(splits[k][2]) for k in seen)
