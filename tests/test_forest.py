@@ -110,3 +110,21 @@ def test_nodes_split_together_are_those_split_one_by_one(monkeypatch, dense, sma
     growth.grown(rows, 5, 1)
     assert len(seen) > 20 and {k: v[:2] for k, v in seen.items()} == {k: v[:2] for k, v in splits.items()}
     assert all(seen[k][2] == pytest.approx(splits[k][2]) for k in seen)
+
+
+def test_a_cut_forest_is_the_one_grown_to_the_lower_limit(noisy):
+    deep = [replace(SMALL, max_depth=d) for d in (7, 3, 30, 1)]
+    models = C.fit_depths(deep, noisy)
+    for c, model in zip(deep, models):
+        alone = C.random_forest(c).fit(noisy)
+        assert trees(model.stages[-1]) == trees(alone.stages[-1]) and model.stages[-1].totalNumNodes == alone.stages[-1].totalNumNodes
+        assert model.stages[-1].getMaxDepth() == c.max_depth or C.depth_binds(models[2], c.max_depth) is False
+    assert len({m.stages[-1].totalNumNodes for m in models}) > 2
+
+
+def test_depths_of_a_family_are_grown_once(noisy, monkeypatch):
+    grown = []
+    whole = FO.Forest._grown
+    monkeypatch.setattr(FO.Forest, "_grown", lambda self, *a: grown.append(a) or whole(self, *a))
+    C.grid_search(noisy.drop("label", "class_weight"), "id", replace(SMALL, trees=2), {"max_depth": (6, 3, 2), "min_instances": (1, 2)}, k=2)
+    assert len(grown) == 2 * 2 + 1
