@@ -55,6 +55,18 @@ def test_loaded_models_score_alike(spark, sf, run):
     assert a.count() == docs.where("trim(text) <> ''").count()
 
 
+def test_a_run_has_the_vectors_it_scored(spark, sf, run, monkeypatch):
+    """So that a query on a trained run does not prepare, split and weigh the rows again."""
+    _, r = run
+    held_out = models._held_out(r)
+    p = lambda df: sorted((x.id, *x.probabilities) for x in df.select("id", "probabilities").collect())
+    assert held_out.columns == ["id", "label_id", "features"] and p(C.predict(r.model, held_out)) == p(r.predictions)
+    monkeypatch.setattr(models, "trained", lambda spark, sf: r)
+    monkeypatch.setattr(models, "_training_vectors", None)
+    assert models.save_model(spark, sf).count() == r.predictions.count()
+    assert tuple(models.save_model_checked(spark, sf).first()) == (r.predictions.count(), 0)
+
+
 def test_records(spark, sf, run, tmp_path):
     _, r = run
     scored = score_rows(documents(spark, sf, "doc_id", "text"), r.model, r.features)
