@@ -3,6 +3,7 @@ from dataclasses import replace
 
 import numpy as np
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.ml.linalg import Vectors
 
 from kotomori.operators import classify as C
@@ -128,3 +129,36 @@ def test_depths_of_a_family_are_grown_once(noisy, monkeypatch):
     monkeypatch.setattr(FO.Forest, "_grown", lambda self, *a: grown.append(a) or whole(self, *a))
     C.grid_search(noisy.drop("label", "class_weight"), "id", replace(SMALL, trees=2), {"max_depth": (6, 3, 2), "min_instances": (1, 2)}, k=2)
     assert len(grown) == 2 * 2 + 1
+
+
+def scored(model, rows):
+    return [tuple(r) for r in model.transform(rows).select("id", "rawPrediction", "probability", "prediction").orderBy("id").collect()]
+
+
+@pytest.mark.parametrize("held", [1 << 24, 1])
+def test_scores_by_node_arrays_are_those_of_sparks_model(noisy, monkeypatch, held):
+    """Sparse and dense rows, and one without a cell; the model is not loaded into the driver for them."""
+    monkeypatch.setattr(FO, "SCORED", held)
+    model = C.fit(C.random_forest(SMALL), noisy).stages[-1]
+    dense = noisy.sparkSession.createDataFrame([(1000 + i, Vectors.dense([x] * 12)) for i, x in enumerate((-1.0, 0.0, 0.3, 2.0))], ["id", "features"])
+    rows = noisy.select("id", "features").unionByName(dense)
+    found = scored(model, rows)
+    assert "whole" not in model.held
+    assert found == scored(model.whole, rows) and len({r[3] for r in found}) > 1
+
+
+def test_rows_of_many_cells_lower_the_rows_of_a_task(noisy, monkeypatch):
+    spec, seen, whole = C.random_forest(SMALL).getStages()[0].spec, [], FO.Forest._tops
+    monkeypatch.setattr(FO.Forest, "_tops", lambda self, *a: seen.append(a[-1]) or whole(self, *a))
+    usual = FO.Forest(spec).fit(noisy)
+    monkeypatch.setattr(FO, "IN_TASK_CELLS", 200)
+    assert trees(FO.Forest(spec).fit(noisy)) == trees(usual)
+    assert seen[0] == FO.IN_TASK and 1 < seen[1] < 100
+
+
+def test_rows_of_a_tree_are_shuffled_once(noisy, monkeypatch):
+    plans, whole = [], FO._subtrees
+    monkeypatch.setattr(FO, "_subtrees", lambda *a: plans.append(whole(*a)) or plans[-1])
+    C.random_forest(SMALL).fit(noisy)
+    shuffles = [line for line in plans[0]._jdf.queryExecution().executedPlan().toString().split("\n") if "Exchange" in line]
+    assert len(shuffles) == 1 and plans[0].rdd.getNumPartitions() == 2  # 6 trees, 4 to a task
