@@ -5,6 +5,7 @@ All functions take a frame with ``features``, ``label_id`` and a key column.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass, replace
 from functools import reduce
@@ -15,12 +16,13 @@ from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import UnivariateFeatureSelector
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.ml.util import DefaultParamsReader
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kotomori.config import FEATURES, FOREST, FeatureSettings, ForestSettings
 from kotomori.operators.features import TfidfModel
-from kotomori.operators.forest import Forest
+from kotomori.operators.forest import Forest, ForestModel
 from kotomori.operators.labels import decode, with_class_weight
 from kotomori.operators.metrics import confusion_counts, f1_scores
 from kotomori.operators.splits import kfold
@@ -245,8 +247,36 @@ def train_model(df: DataFrame, key: str, tune: bool = False, path: str | None =
 
 
 def save_model(model: PipelineModel, path: str) -> None:
-    model.write().overwrite().save(path)
+    """Write the model in Spark's format. A forest's nodes are copied from the table they are in, and
+    not through the driver."""
+    if not any(isinstance(stage, ForestModel) for stage in model.stages):
+        return model.write().overwrite().save(path)
+    spark = SparkSession.active()
+    PipelineModel([]).write().overwrite().save(path)
+    for stage, to in zip(model.stages, _stage_paths(path, [stage.uid for stage in model.stages])):
+        if isinstance(stage, ForestModel):
+            for table in ("data", "treesMetadata"):
+                spark.read.parquet(f"{stage.path}/{table}").write.parquet(f"{to}/{table}")
+            spark.read.text(f"{stage.path}/metadata").coalesce(1).write.text(f"{to}/metadata")
+        else:
+            stage.write().save(to)
+    about = json.loads(spark.read.text(f"{path}/metadata").first().value)
+    about |= {"uid": model.uid, "paramMap": {"stageUids": [stage.uid for stage in model.stages]}}
+    spark.range(1).select(F.lit(json.dumps(about)).alias("value")).coalesce(1).write.mode("overwrite").text(f"{path}/metadata")
+
+
+def _stage_paths(path: str, uids: list[str]) -> list[str]:
+    """Where Spark has the stages of a saved pipeline."""
+    return [f"{path}/stages/{i:0{len(str(len(uids)))}d}_{uid}" for i, uid in enumerate(uids)]
 
 
 def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+    """A saved model; a forest stays where it is until it is asked for (see :class:`ForestModel`)."""
+    spark = SparkSession.active()
+    about = json.loads(spark.read.text(f"{path}/metadata").first().value)
+    stages = []
+    for at in _stage_paths(path, about["paramMap"].get("stageUids", [])):
+        kind = json.loads(spark.read.text(f"{at}/metadata").first().value)["class"]
+        stages.append(ForestModel.read(at) if kind.endswith(".RandomForestClassificationModel") else DefaultParamsReader.loadParamsInstance(at, spark))
+    model = PipelineModel(stages)
+    return model._resetUid(about["uid"])

@@ -147,6 +147,19 @@ def test_scores_by_node_arrays_are_those_of_sparks_model(noisy, monkeypatch, hel
     assert found == scored(model.whole, rows) and len({r[3] for r in found}) > 1
 
 
+def test_a_model_is_saved_and_loaded_without_the_driver(noisy, tmp_path):
+    """From the table of its nodes, over an older model, with what stands before the forest; Spark loads it too."""
+    path = str(tmp_path / "m")
+    for spec in (SMALL, replace(SMALL, select_top=5)):
+        model = C.fit(C.random_forest(spec), noisy)
+        C.save_model(model, path)
+        again, whole = C.load_model(path), PipelineModel.load(path)
+        assert scored(model, noisy) == scored(again, noisy) == scored(whole, noisy)
+        assert all("whole" not in m.stages[-1].held for m in (model, again))
+        assert [s.uid for s in whole.stages] == [s.uid for s in again.stages] and again.uid == whole.uid == model.uid
+        assert again.stages[-1].getMaxDepth() == 7 and again.stages[-1].nodes.depth == max(t.depth for t in whole.stages[-1].trees)
+
+
 def test_rows_of_many_cells_lower_the_rows_of_a_task(noisy, monkeypatch):
     spec, seen, whole = C.random_forest(SMALL).getStages()[0].spec, [], FO.Forest._tops
     monkeypatch.setattr(FO.Forest, "_tops", lambda self, *a: seen.append(a[-1]) or whole(self, *a))
