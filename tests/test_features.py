@@ -232,3 +232,16 @@ def test_terms_of_a_corpus_are_summed_in_batches(spark, block, brute):
     each = [Counter(brute(t)) for t in DOCS]
     want = {t: (sum(t in c for c in each), sum(c[t] for c in each)) for c in each for t in c}
     assert {r.term: (r.df, r.corpus_tf) for r in found.collect()} == want
+
+
+@pytest.mark.parametrize("settings", [(2, 4), (3, 5)])
+def test_batches_squash_white_space_between_characters(spark, settings):
+    """Runs of all kinds of white space, at both ends of rows and across empty ones, count as one space."""
+    texts = [" \t a\u3000\u3000b ", "", "  ", "\u2003", "c\x1c\x85d\n", "e  ", " f", "gh", "i\u200bj k\u00a0"]
+    made = column_of(spark, lambda c: G.spaced(c, "char"), texts)
+    assert made == texts  # no regex of Spark's over every character
+    got = [Counter() for _ in texts]
+    for start, _, row, term, tf in G.batch_counts(made, "char", *settings):
+        for i, t, n in zip(row.tolist(), term.to_pylist(), tf.tolist()):
+            got[start + i][t] += n
+    assert got == [Counter(brute_chars(t, *settings)) for t in texts] and got[1] == got[2] == got[3] == Counter()
